@@ -19,14 +19,15 @@ COLUMN_ALIASES = {
 }
 
 # --- fixed values: canonical type of each canonical column that is cast -------
+# The order is also the order in which rows of one duplicate key are ranked.
 CANONICAL_TYPES = {
     "trip_id": "bigint",
-    "trip_distance_km": "double",
     "fare_amount": "double",
-    "passenger_count": "int",
+    "trip_distance_km": "double",
     "payment_type": "int",
     "pickup_location_id": "int",
     "dropoff_location_id": "int",
+    "passenger_count": "int",
     "pickup_longitude": "double",
     "pickup_latitude": "double",
     "dropoff_longitude": "double",

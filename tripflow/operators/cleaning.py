@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tripflow.constants import CANONICAL_TYPES
 from tripflow.functions.rules import is_floating
 from tripflow.operators.columns import column, key_fields
 
-SURVIVOR_FIRST = ("trip_id", "fare_amount", "trip_distance_km")
-
 
 def drop_null_keys(trips: DataFrame) -> DataFrame:
     """Drop trips with a NULL key field. (``dropna`` would drop NaN as well.)"""
@@ -47,10 +46,27 @@ def survivor_order(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
     the input's columns. Rows that tie on all of them are identical.
     """
     rest = [c for c in columns if c not in keys]
-    first = [c for c in SURVIVOR_FIRST if c in rest]
+    first = [c for c in CANONICAL_TYPES if c in rest]
     return first + sorted(c for c in rest if c not in first)
 
 
+def needed_for(trips: DataFrame, wanted: Iterable[str]) -> DataFrame:
+    """Leave out columns that neither the rules nor ``wanted`` need.
+
+    Kept are the key fields and the survivor order up to its last needed column.
+    Rows that tie on those agree in every needed column, so each needed value is
+    the same as without pruning, and the duplicate shuffle carries less.
+    """
+    fields = key_fields(trips.columns)
+    keys = dedupe_keys(trips.columns)
+    needed = {*fields, *keys, *wanted}
+    order = survivor_order(trips.columns, keys)
+    while order and order[-1] not in needed:
+        order.pop()
+    kept = {*keys, *order}
+    return trips.select([column(c) for c in trips.columns if c in kept])
+
+
 def first_per_key(trips: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key: the lowest under ``survivor_order``, NULLs lowest.
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tripflow.constants import CANONICAL_TYPES, COLUMN_ALIASES, KEY_FIELD_WORDS, TIME_COLUMNS
+from tripflow.constants import CANONICAL_TYPES, COLUMN_ALIASES, KEY_FIELD_WORDS
 
 
 def column(name: str):
@@ -42,11 +42,6 @@ def conform_types(trips: DataFrame) -> DataFrame:
     return trips.select([conformed(f) for f in trips.schema.fields])
 
 
-def canonical_columns(trips: DataFrame) -> DataFrame:
-    """Keep the columns the analyses know; the rest never enter a shuffle."""
-    return available(trips, (*TIME_COLUMNS, *CANONICAL_TYPES))
-
-
 def key_fields(columns: Sequence[str]) -> list[str]:
     """First column whose name holds the words of each key-field rule."""
     found = []

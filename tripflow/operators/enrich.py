@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripflow.operators.boxes import attach_boxes
+from tripflow.constants import DEFAULT_GRID_ZONES
+from tripflow.operators.boxes import attach_boxes, grid_zones
 from tripflow.operators.lookup import attach_location_names, attach_lookup, attach_nothing
-from tripflow.sources.zones import ZoneSource
+from tripflow.sources.zones import ZoneSource, zone_files
 
 ENDS = ("pickup", "dropoff")
 
 
+def resolve_zone_source(
+    spark: SparkSession,
+    trips: DataFrame,
+    *,
+    lookup_path: str | None = None,
+    boxes_path: str | None = None,
+    num_zones: int = DEFAULT_GRID_ZONES,
+) -> ZoneSource:
+    """The lookup file, else the box file, else a grid over the trips."""
+    found = zone_files(spark, lookup_path=lookup_path, boxes_path=boxes_path)
+    return found or ZoneSource("grid", boxes=grid_zones(trips, num_zones))
+
+
 def enrich_end(trips: DataFrame, zones: ZoneSource, end: str, **box_options) -> DataFrame:
     """Attach the zone of one end, by what the trips and the source offer.
 

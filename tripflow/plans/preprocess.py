@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.constants import LIMITS, Limits
-from tripflow.operators.cleaning import clean_trips
-from tripflow.operators.columns import canonical_columns, conform_types, standardize_columns
+from tripflow.constants import CANONICAL_TYPES, LIMITS, Limits
+from tripflow.operators.cleaning import clean_trips, needed_for
+from tripflow.operators.columns import conform_types, standardize_columns
 from tripflow.operators.derive import derive_trips
 from tripflow.operators.outliers import filter_outliers
 from tripflow.sources.trips import scan_trips
@@ -17,21 +19,26 @@ def standard_trips(raw: DataFrame) -> DataFrame:
     return raw.transform(standardize_columns).transform(conform_types)
 
 
+# Canonical columns only: what any analysis can ask for.
+ANALYSIS_COLUMNS = tuple(CANONICAL_TYPES)
+
+
 def curate_trips(
     raw: DataFrame,
     limits: Limits = LIMITS,
     null_duration: str = "drop",
     *,
-    canonical_only: bool = False,
+    columns: Iterable[str] | None = None,
 ) -> DataFrame:
     """All preprocessing steps, as one lazy plan with a single shuffle.
 
-    ``canonical_only`` leaves out columns no analysis reads before duplicates
-    are removed. It cannot change which trip survives: extra columns rank last.
+    ``columns`` names the trip columns that will be used, next to the times, the
+    distance and the fare; columns that are not needed are left out before the
+    shuffle. It cannot change any value of the named columns.
     """
     trips = standard_trips(raw)
-    if canonical_only:
-        trips = canonical_columns(trips)
+    if columns is not None:
+        trips = needed_for(trips, columns)
     return (
         trips.transform(clean_trips)
         .transform(derive_trips, limits, null_duration)

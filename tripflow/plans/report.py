@@ -19,13 +19,14 @@ from tripflow.constants import (
 from tripflow.functions import weekend_label
 from tripflow.operators import demand
 from tripflow.operators.activity import END_LABELS, combine_ends, top_zones, zone_columns
+from tripflow.operators.boxes import grid_zones
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.quality import data_quality_rate, dataset_overview, null_profile, quality_funnel
 from tripflow.operators.revenue import order_revenue
 from tripflow.operators.rollup import rollup_by
-from tripflow.plans.preprocess import curate_trips, standard_trips
+from tripflow.plans.preprocess import ANALYSIS_COLUMNS, curate_trips, standard_trips
 from tripflow.sinks import TableStore, export, save_results
-from tripflow.sources import resolve_zone_source, scan_trips
+from tripflow.sources import ZoneSource, scan_trips, zone_files
 
 GROUPINGS = {
     "hour": ["hour_of_day"],
@@ -37,6 +38,9 @@ GROUPINGS = {
     "all": [],
 }
 
+# With a lookup, coordinates are not used and need not be shuffled.
+ID_COLUMNS = ("payment_type", "pickup_location_id", "dropoff_location_id")
+
 
 def report_groups(enriched: DataFrame) -> DataFrame:
     """Every grouping the report needs, with all measures: a few rows per zone.
@@ -175,12 +179,13 @@ def run_report(
         funnel = quality_funnel(standard, limits, null_duration)
         tables["quality_funnel"] = _staged(funnel, f"{out}/staged/quality_funnel")
         tables["data_quality_rate"] = data_quality_rate(tables["quality_funnel"])
-    curated = curate_trips(raw, limits, null_duration, canonical_only=True)
+    zones = zone_files(spark, lookup_path=lookup_path, boxes_path=boxes_path)
+    by_id = zones is not None and zones.kind == "lookup" and not curated_path
+    columns = ID_COLUMNS if by_id else ANALYSIS_COLUMNS
+    curated = curate_trips(raw, limits, null_duration, columns=columns)
     if curated_path:
         curated = _staged(curated, curated_path)
-    zones = resolve_zone_source(
-        spark, curated, lookup_path=lookup_path, boxes_path=boxes_path, num_zones=num_zones
-    )
+    zones = zones or ZoneSource("grid", boxes=grid_zones(curated, num_zones))
     enriched = enrich_trips(curated, zones, rows_distinct=True)
     tables.update(report_tables(_staged(report_groups(enriched), f"{out}/staged/groups")))
 

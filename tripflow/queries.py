@@ -46,6 +46,18 @@ def rounded(result: DataFrame) -> DataFrame:
     return result.select([value(f) for f in result.schema.fields])
 
 
+def _over(table: Query, *steps: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query that applies ``steps`` to ``table``."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        result = table(spark, sf)
+        for step in steps:
+            result = step(result)
+        return result
+
+    return run
+
+
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
     return adapters.trips_raw(spark, sf)
 
@@ -62,8 +74,9 @@ def _curated(spark: SparkSession, sf: str) -> DataFrame:
     return preprocess.curate_trips(_raw(spark, sf))
 
 
-def _curated_volume(spark: SparkSession, sf: str) -> DataFrame:
-    return preprocess.curate_trips(adapters.trips_volume(spark, sf), canonical_only=True)
+def _curated_with(raw: Query, *used: str) -> Query:
+    """Curated trips with only the columns that are used next to times, distance and fare."""
+    return lambda spark, sf: preprocess.curate_trips(raw(spark, sf), columns=used)
 
 
 def _lookup_source(spark: SparkSession, sf: str) -> ZoneSource:
@@ -74,20 +87,23 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.enrich_trips(_curated(spark, sf), _lookup_source(spark, sf))
 
 
-def _enriched_volume(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.enrich_trips(_curated_volume(spark, sf), _lookup_source(spark, sf))
-
-
-def _by_hour(spark: SparkSession, sf: str) -> DataFrame:
-    return demand.demand_by_hour(_curated(spark, sf))
+def _enriched_with(raw: Query, *used: str) -> Query:
+    curated = _curated_with(raw, *used)
+    return lambda spark, sf: enrich.enrich_trips(curated(spark, sf), _lookup_source(spark, sf))
 
 
-def _by_day(spark: SparkSession, sf: str) -> DataFrame:
-    return demand.demand_by_day(_curated(spark, sf))
+_fares = _curated_with(_raw)
+_payments = _curated_with(_raw, "payment_type")
+_zoned = _enriched_with(_raw, "pickup_location_id", "dropoff_location_id", "payment_type")
+_by_hour = _over(_fares, demand.demand_by_hour)
+_by_day = _over(_fares, demand.demand_by_day)
+_by_payment = _over(_payments, revenue.revenue_by_payment)
 
-
-def _by_payment(spark: SparkSession, sf: str) -> DataFrame:
-    return revenue.revenue_by_payment(_curated(spark, sf))
+_volume_fares = _curated_with(adapters.trips_volume)
+_volume_payments = _curated_with(adapters.trips_volume, "payment_type")
+_volume_zoned = _enriched_with(
+    adapters.trips_volume, "pickup_location_id", "dropoff_location_id", "payment_type"
+)
 
 
 def _trip_ids_only(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,18 +121,6 @@ def _zone_of(trips: DataFrame, zones: DataFrame, end: str, **options) -> DataFra
     )
 
 
-def _over(table: Query, *steps: Callable[[DataFrame], DataFrame]) -> Query:
-    """A query that applies ``steps`` to ``table``."""
-
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        result = table(spark, sf)
-        for step in steps:
-            result = step(result)
-        return result
-
-    return run
-
-
 def _keeping(*names: str) -> Callable[[DataFrame], DataFrame]:
     return lambda table: table.select("trip_id", *names)
 
@@ -248,7 +252,7 @@ QUERIES: dict[str, Query] = {
     "coordinate_bounds": _over(_curated, boxes.coordinate_bounds),
     "grid_zones": zones_of_grid,
     "enriched_by_grid": enriched_by_grid,
-    "zone_coverage": _over(_enriched, enrich.zone_coverage),
+    "zone_coverage": _over(_zoned, enrich.zone_coverage),
     # demand
     "demand_by_hour": _over(_by_hour, rounded),
     "demand_by_day": _over(_by_day, rounded),
@@ -257,38 +261,38 @@ QUERIES: dict[str, Query] = {
     "busiest_day": _over(_by_day, demand.busiest_day, rounded),
     "quietest_day": _over(_by_day, demand.quietest_day, rounded),
     "hour_extremes": _over(_by_hour, demand.hour_extremes, rounded),
-    "duration_distance_by_hour": _over(_curated, demand.duration_distance_by_hour, rounded),
-    "duration_distance_by_zone": _over(_enriched, demand.duration_distance_by_zone, rounded),
+    "duration_distance_by_hour": _over(_fares, demand.duration_distance_by_hour, rounded),
+    "duration_distance_by_zone": _over(_zoned, demand.duration_distance_by_zone, rounded),
     # zone activity
-    "top_origin_zones": _over(_enriched, activity.top_origin_zones, rounded),
-    "top_destination_zones": _over(_enriched, activity.top_destination_zones, rounded),
-    "zone_activity": _over(_enriched, activity.zone_activity, rounded),
-    "most_active_zone": _over(_enriched, activity.most_active_zone, rounded),
-    "revenue_by_zone": _over(_enriched, activity.revenue_by_zone, rounded),
+    "top_origin_zones": _over(_zoned, activity.top_origin_zones, rounded),
+    "top_destination_zones": _over(_zoned, activity.top_destination_zones, rounded),
+    "zone_activity": _over(_zoned, activity.zone_activity, rounded),
+    "most_active_zone": _over(_zoned, activity.most_active_zone, rounded),
+    "revenue_by_zone": _over(_zoned, activity.revenue_by_zone, rounded),
     # revenue
-    "payment_distribution": _over(_curated, revenue.payment_distribution),
+    "payment_distribution": _over(_payments, revenue.payment_distribution),
     "payment_names": _over(
-        _curated, revenue.add_payment_name, _keeping("payment_type", "payment_type_name")
+        _payments, revenue.add_payment_name, _keeping("payment_type", "payment_type_name")
     ),
     "revenue_by_payment": _over(_by_payment, rounded),
     "total_revenue": _over(_by_payment, revenue.total_revenue, rounded),
-    "revenue_per_trip": _over(_curated, revenue.revenue_per_trip, rounded),
-    "revenue_split": _over(_curated, revenue.revenue_split, rounded),
+    "revenue_per_trip": _over(_fares, revenue.revenue_per_trip, rounded),
+    "revenue_split": _over(_payments, revenue.revenue_split, rounded),
     # whole jobs
-    "total_trips": _over(_enriched, summary.total_trips),
-    "summary": _over(_enriched, summary.summary, rounded),
-    "report_groups": _over(_enriched, report.report_groups, rounded),
+    "total_trips": _over(_zoned, summary.total_trips),
+    "summary": _over(_zoned, summary.summary, rounded),
+    "report_groups": _over(_zoned, report.report_groups, rounded),
     # the batch form of the hourly stream
-    "stream_hourly_demand": _over(_curated, closed_hours, rounded),
+    "stream_hourly_demand": _over(_fares, closed_hours, rounded),
     # the same jobs on the largest table
-    "curated_trips_volume": _curated_volume,
+    "curated_trips_volume": _over(adapters.trips_volume, preprocess.curate_trips),
     "quality_funnel_volume": _funnel(adapters.trips_volume),
-    "demand_by_hour_volume": _over(_curated_volume, demand.demand_by_hour, rounded),
-    "demand_by_day_volume": _over(_curated_volume, demand.demand_by_day, rounded),
-    "zone_activity_volume": _over(_enriched_volume, activity.zone_activity, rounded),
-    "revenue_by_payment_volume": _over(_curated_volume, revenue.revenue_by_payment, rounded),
-    "summary_volume": _over(_enriched_volume, summary.summary, rounded),
-    "report_groups_volume": _over(_enriched_volume, report.report_groups, rounded),
+    "demand_by_hour_volume": _over(_volume_fares, demand.demand_by_hour, rounded),
+    "demand_by_day_volume": _over(_volume_fares, demand.demand_by_day, rounded),
+    "zone_activity_volume": _over(_volume_zoned, activity.zone_activity, rounded),
+    "revenue_by_payment_volume": _over(_volume_payments, revenue.revenue_by_payment, rounded),
+    "summary_volume": _over(_volume_zoned, summary.summary, rounded),
+    "report_groups_volume": _over(_volume_zoned, report.report_groups, rounded),
 }
 
 

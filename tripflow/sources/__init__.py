@@ -1,12 +1,12 @@
 """Readers of trip files and zone files."""
 
 from tripflow.sources.trips import scan_trips
-from tripflow.sources.zones import ZoneSource, read_zone_boxes, read_zone_lookup, resolve_zone_source
+from tripflow.sources.zones import ZoneSource, read_zone_boxes, read_zone_lookup, zone_files
 
 __all__ = [
     "ZoneSource",
     "read_zone_boxes",
     "read_zone_lookup",
-    "resolve_zone_source",
     "scan_trips",
+    "zone_files",
 ]

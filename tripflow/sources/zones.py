@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripflow.constants import DEFAULT_GRID_ZONES
-
 BOUND_COLUMNS = ("min_longitude", "max_longitude", "min_latitude", "max_latitude")
 
 
@@ -44,24 +42,15 @@ class ZoneSource:
     boxes: DataFrame | None = None
 
 
-def resolve_zone_source(
-    spark: SparkSession,
-    trips: DataFrame,
-    *,
-    lookup_path: str | None = None,
-    boxes_path: str | None = None,
-    num_zones: int = DEFAULT_GRID_ZONES,
-) -> ZoneSource:
-    """Use the lookup file, else the box file, else a grid over the trips."""
-    from tripflow.operators.boxes import grid_zones
-
+def zone_files(
+    spark: SparkSession, *, lookup_path: str | None = None, boxes_path: str | None = None
+) -> ZoneSource | None:
+    """The lookup file if it is there, else the box file, else nothing."""
     lookup = _read_if_present(read_zone_lookup, spark, lookup_path)
     if lookup is not None:
         return ZoneSource("lookup", lookup=lookup)
     boxes = _read_if_present(read_zone_boxes, spark, boxes_path)
-    if boxes is not None:
-        return ZoneSource("boxes", boxes=boxes)
-    return ZoneSource("grid", boxes=grid_zones(trips, num_zones))
+    return None if boxes is None else ZoneSource("boxes", boxes=boxes)
 
 
 def _read_if_present(reader, spark: SparkSession, path: str | None) -> DataFrame | None:
