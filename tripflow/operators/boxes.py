@@ -1,20 +1,20 @@
 """Zones from coordinates: bounding boxes and generated grids.
 
 A point belongs to the box with the lowest zone id that contains it, edges
-included. Both ways below turn "contains" into an equi-join: every box is
-listed under the few grid cells it touches, at a grid size chosen from the
-box's own extent, so a city-wide box and a street corner cost the same. A point
-looks up one cell per grid size in use (at most ``len(LEVELS)``).
-
-* Up to ``max_broadcast_zones`` boxes (counted first), the cells hold short
-  candidate lists, are broadcast, and trips are matched in place, unshuffled.
-* Beyond that, cells and trips meet in an ordinary shuffle join, and each trip
-  keeps its lowest match.
+included. Both ways below turn "contains" into an equi-join on grid cells: a
+box is listed under the cells it touches, a point looks up the cell it is in,
+and the box's own bounds decide.
+
+* In place: one grid for all boxes, as fine as ``MAX_CELLS`` listed cells allow,
+  with at most ``MAX_SLOTS`` boxes in a cell. Both are counted first. The cells
+  are broadcast and every trip is matched where it is, without a shuffle.
+* By shuffle, for any number and overlap of boxes: each box is listed at a cell
+  size like its own, so it has at most four cells; trips and cells meet in an
+  ordinary join, and each trip keeps its lowest match.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,18 +22,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tripflow.constants import DEFAULT_BOUNDS, DEFAULT_GRID_ZONES, Bounds
 from tripflow.operators.columns import column
 
-# Grid sizes are powers of two, in degrees; steps of 8 keep few sizes in use.
-LEVELS = (-12, -9, -6, -3, 0, 3, 6, 9, 12)
+# Cell sizes are powers of two, in degrees. Boxes of the shuffle join use every
+# third of them, to keep few sizes in use.
+FINEST, COARSEST = -12, 12
+LEVELS = tuple(range(FINEST, COARSEST + 1, 3))
 # Coordinates are clamped to this square for cell numbers only. Clamping keeps
 # order, so a point inside a box is still inside it and shares a cell with it.
 CELL_LIMIT = 512.0
 CELLS_PER_AXIS = 2**22
-MAX_BROADCAST_ZONES = 10_000
+MAX_CELLS = 50_000
+MAX_SLOTS = 12
+ZONE_STRUCT = "struct<zone_id:int,zone_name:string>"
+
+
+def clamped(value: Column) -> Column:
+    return F.least(F.greatest(value, F.lit(-CELL_LIMIT)), F.lit(CELL_LIMIT))
 
 
 def cell_index(value: Column, level: Column) -> Column:
-    clamped = F.least(F.greatest(value, F.lit(-CELL_LIMIT)), F.lit(CELL_LIMIT))
-    return F.floor(clamped / F.pow(F.lit(2.0), level))
+    return F.floor(clamped(value) / F.pow(F.lit(2.0), level))
 
 
 def cell_number(x: Column, y: Column) -> Column:
@@ -55,39 +62,66 @@ def contains(box, longitude: Column, latitude: Column) -> Column:
     )
 
 
-def box_levels(boxes: DataFrame) -> DataFrame:
-    """Boxes with the grid level whose cells are at least as large as the box."""
+def usable_boxes(boxes: DataFrame) -> DataFrame:
+    """Boxes that can contain anything: bounds known and in order."""
+    return boxes.where(
+        (F.col("min_longitude") <= F.col("max_longitude"))
+        & (F.col("min_latitude") <= F.col("max_latitude"))
+    )
+
+
+def _first_and_last_cell(axis: str, level: Column) -> list[Column]:
+    return [cell_index(F.col(f"{side}_{axis}"), level) for side in ("min", "max")]
+
+
+def box_cells(leveled: DataFrame) -> DataFrame:
+    """One row per box and cell it touches, at the box's ``__level``."""
+    level = F.col("__level")
+    return (
+        leveled.withColumn("__x", F.explode(F.sequence(*_first_and_last_cell("longitude", level))))
+        .withColumn("__y", F.explode(F.sequence(*_first_and_last_cell("latitude", level))))
+        .withColumn("__cell", cell_number(F.col("__x"), F.col("__y")))
+        .drop("__x", "__y")
+    )
+
+
+def own_level(boxes: DataFrame) -> DataFrame:
+    """Add the smallest of ``LEVELS`` whose cells are at least as large as the box."""
 
     def extent(axis: str) -> Column:
-        ends = [
-            F.least(F.greatest(F.col(f"{side}_{axis}"), F.lit(-CELL_LIMIT)), F.lit(CELL_LIMIT))
-            for side in ("min", "max")
-        ]
-        return ends[1] - ends[0]
+        low, high = (clamped(F.col(f"{side}_{axis}")) for side in ("min", "max"))
+        return high - low
 
     size = F.greatest(extent("longitude"), extent("latitude"))
     level = F.lit(LEVELS[-1])
     for candidate in reversed(LEVELS[:-1]):
         level = F.when(size <= 2.0**candidate, candidate).otherwise(level)
-    usable = (F.col("min_longitude") <= F.col("max_longitude")) & (
-        F.col("min_latitude") <= F.col("max_latitude")
-    )
-    return boxes.where(usable).withColumn("__level", level)
+    return boxes.withColumn("__level", level)
 
 
-def box_cells(leveled: DataFrame) -> DataFrame:
-    """One row per box and touched cell: at most four per box."""
+def single_grid(boxes: DataFrame, max_cells: int, max_slots: int) -> tuple[int, int] | None:
+    """Finest level that lists at most ``max_cells`` cells, and its fullest cell.
 
-    def touched(axis: str) -> Column:
-        low, high = (cell_index(F.col(f"{side}_{axis}"), F.col("__level")) for side in ("min", "max"))
-        return F.sequence(low, high)
+    None if no level is coarse enough or the fullest cell exceeds ``max_slots``.
+    Runs two small jobs that each bring one row of counts to the driver.
+    """
 
-    return (
-        leveled.withColumn("__x", F.explode(touched("longitude")))
-        .withColumn("__y", F.explode(touched("latitude")))
-        .withColumn("__cell", cell_number(F.col("__x"), F.col("__y")))
-        .drop("__x", "__y")
-    )
+    def listed_at(level: int) -> Column:
+        cells = F.lit(1.0)
+        for axis in ("longitude", "latitude"):
+            first, last = _first_and_last_cell(axis, F.lit(level))
+            cells = cells * (last - first + 1)
+        return F.coalesce(F.sum(cells), F.lit(0.0))
+
+    levels = range(FINEST, COARSEST + 1)
+    listed = boxes.agg(*[listed_at(level) for level in levels]).first()
+    affordable = [level for level, cells in zip(levels, listed) if cells <= max_cells]
+    if not affordable:
+        return None
+    level = affordable[0]
+    cells = box_cells(boxes.withColumn("__level", F.lit(level)))
+    fullest = cells.groupBy("__cell").count().agg(F.max("count")).first()[0] or 0
+    return (level, fullest) if fullest <= max_slots else None
 
 
 def attach_boxes(
@@ -96,7 +130,8 @@ def attach_boxes(
     end: str,
     *,
     unmatched: str = "drop",
-    max_broadcast_zones: int = MAX_BROADCAST_ZONES,
+    max_cells: int = MAX_CELLS,
+    max_slots: int = MAX_SLOTS,
     rows_distinct: bool = False,
 ) -> DataFrame:
     """Add ``<end>_zone_id`` and ``<end>_zone_name`` of the containing box.
@@ -104,22 +139,15 @@ def attach_boxes(
     ``unmatched='drop'`` loses trips outside all boxes, ``'keep'`` gives them a
     NULL zone. ``rows_distinct`` promises that no two trips are identical, which
     saves the shuffle join a step; the result does not depend on it.
-
-    Building this runs one small job that counts the boxes per grid level: at
-    most ``len(LEVELS)`` rows reach the driver, and the count is what allows or
-    forbids the broadcast.
     """
     if unmatched not in ("drop", "keep"):
         raise ValueError(f"unmatched must be 'drop' or 'keep', not {unmatched!r}")
-    leveled = box_levels(boxes)
-    per_level = {r["__level"]: r["count"] for r in leveled.groupBy("__level").count().collect()}
-    levels = sorted(per_level)
-    if not levels:
-        matched = trips.withColumn("__zone", F.lit(None).cast("struct<zone_id:int,zone_name:string>"))
-    elif sum(per_level.values()) <= max_broadcast_zones:
-        matched = _match_in_place(trips, leveled, end, levels)
+    usable = usable_boxes(boxes)
+    grid = single_grid(usable, max_cells, max_slots)
+    if grid is not None:
+        matched = _match_in_place(trips, usable, end, *grid)
     else:
-        matched = _match_by_shuffle(trips, leveled, end, levels, rows_distinct)
+        matched = _match_by_shuffle(trips, usable, end, rows_distinct)
     if unmatched == "drop":
         matched = matched.where(F.col("__zone").isNotNull())
     return matched.select(
@@ -130,53 +158,57 @@ def attach_boxes(
 
 
 def _match_in_place(
-    trips: DataFrame, leveled: DataFrame, end: str, levels: Sequence[int]
+    trips: DataFrame, boxes: DataFrame, end: str, level: int, slots: int
 ) -> DataFrame:
-    """One broadcast join per level; a cell's candidates are one sorted array.
+    """Broadcast the cells; a point tries its cell's boxes in zone order.
 
-    The arrays hold at most ``max_broadcast_zones`` boxes in all, so neither the
-    grouping nor the broadcast can grow with the trips.
+    The fullest cell has ``slots`` boxes, so the tries are written out as that
+    many plain comparisons, which Spark compiles, instead of an array function,
+    which it interprets.
     """
+    if slots == 0:
+        return trips.withColumn("__zone", F.lit(None).cast(ZONE_STRUCT))
     longitude, latitude = F.col(f"{end}_longitude"), F.col(f"{end}_latitude")
     candidate = F.struct(
         "zone_id", "zone_name", "min_longitude", "max_longitude", "min_latitude", "max_latitude"
     )
     cells = (
-        box_cells(leveled)
-        .groupBy("__level", "__cell")
-        .agg(F.collect_list(candidate).alias("__boxes"))
-    )
-    matched, hits = trips, []
-    for i, level in enumerate(levels):
-        at_level = cells.where(F.col("__level") == level).select(
-            F.col("__cell").alias(f"__cell_{i}"), F.col("__boxes").alias(f"__boxes_{i}")
-        )
-        cell = point_cell(longitude, latitude, F.lit(level))
-        matched = matched.withColumn(f"__cell_{i}", cell).join(
-            F.broadcast(at_level), f"__cell_{i}", "left"
+        box_cells(boxes.withColumn("__level", F.lit(level)))
+        .groupBy("__cell")
+        .agg(F.sort_array(F.collect_list(candidate)).alias("__boxes"))
+        .select(
+            "__cell",
+            F.transform(
+                "__boxes",
+                lambda b: F.struct(
+                    b.getField("zone_id").alias("zone_id"),
+                    b.getField("zone_name").alias("zone_name"),
+                ),
+            ).alias("__zones"),
+            *[F.get("__boxes", F.lit(i)).alias(f"__slot_{i}") for i in range(slots)],
         )
-        inside = F.filter(
-            F.col(f"__boxes_{i}"), lambda b: contains(b.getField, longitude, latitude)
-        )
-        zones = F.transform(
-            inside,
-            lambda b: F.struct(
-                b.getField("zone_id").alias("zone_id"), b.getField("zone_name").alias("zone_name")
-            ),
-        )
-        hits.append(F.array_min(zones))
-    return matched.withColumn("__zone", F.least(*hits) if len(hits) > 1 else hits[0])
+    )
+    place = F.lit(None).cast("int")
+    for i in reversed(range(slots)):
+        box = F.col(f"__slot_{i}")
+        place = F.when(contains(box.getField, longitude, latitude), i).otherwise(place)
+    cell = point_cell(longitude, latitude, F.lit(level))
+    found = trips.withColumn("__cell", cell).join(F.broadcast(cells), "__cell", "left")
+    return found.withColumn("__zone", F.get("__zones", place))
 
 
 def _match_by_shuffle(
-    trips: DataFrame, leveled: DataFrame, end: str, levels: Sequence[int], rows_distinct: bool
+    trips: DataFrame, boxes: DataFrame, end: str, rows_distinct: bool
 ) -> DataFrame:
     """Equi-join trips and boxes on the cell, then keep each trip's lowest box.
 
     Trips are identified by all their columns; identical ones are first counted,
     and restored at the end. The join reads both sides straight from a shuffle,
-    the form in which adaptive execution splits a crowded cell.
+    the form in which adaptive execution splits a crowded cell. The cell sizes in
+    use, at most ``len(LEVELS)``, are read first.
     """
+    leveled = own_level(boxes)
+    levels = sorted(row[0] for row in leveled.select("__level").distinct().collect())
     names = [column(c) for c in trips.columns]
     if rows_distinct:
         counted = trips.withColumn("__copies", F.lit(1).cast("bigint"))

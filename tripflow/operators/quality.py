@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tripflow.constants import LIMITS, Limits
 from tripflow.functions.rules import is_floating, is_missing
-from tripflow.operators.cleaning import dedupe_keys, survivor_order
+from tripflow.operators.cleaning import dedupe_keys, needed_for, survivor_order
 from tripflow.operators.columns import column, key_fields
 from tripflow.operators.derive import add_time_columns, duration_rule
 from tripflow.operators.outliers import outlier_rules
@@ -76,6 +76,7 @@ def quality_funnel(
     key rule by the first rule they fail. Both are reduced before the shuffle,
     so neither a hot key nor a rule that a third of all rows break is a problem.
     """
+    trips = needed_for(trips, ())
     key_rules = _key_rules(trips)
     first_failed = F.lit(0)
     for i, broken in reversed(list(enumerate(key_rules.values(), start=1))):

@@ -169,7 +169,7 @@ def pickup_point_many(spark: SparkSession, sf: str) -> DataFrame:
 def pickup_point_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     zones = adapters.many_boxes(spark, sf)
     return _zone_of(
-        _curated(spark, sf), zones, "pickup", max_broadcast_zones=0, rows_distinct=True
+        _curated(spark, sf), zones, "pickup", max_cells=0, rows_distinct=True
     )
 
 
