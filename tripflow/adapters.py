@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _seconds(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
+    return F.expr("interval '1' second") * n
 
 
 def _every(n: int) -> Column:
