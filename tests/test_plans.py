@@ -50,7 +50,7 @@ def test_filters_and_columns_reach_the_scan(spark, trip_file):
 def test_curation_shuffles_once_and_filters_duration_before(spark, trip_file):
     text = plan(curate_trips(trip_file))
     assert exchanges(text) == 1
-    below = text[text.index("(2) Filter") : text.index("(3)")]
+    below = text[text.index("(2) Filter") : text.index("(3) Project")]
     assert "dropoff" in below and "180.0" in below
 
 
@@ -72,7 +72,7 @@ def test_boxes_are_matched_without_moving_trips(spark, trip_file, small):
     trips = standardize_columns(trip_file)
     matched = attach_boxes(trips, adapters.zone_boxes(spark, small), "pickup")
     text = plan(matched)
-    assert "BroadcastHashJoin LeftOuter" in text
+    assert "BroadcastHashJoin Inner" in text
     assert exchanges(text) == 1  # the cells, before their broadcast
 
 

@@ -25,12 +25,14 @@ def ordered(table):
 def enriched(spark):
     sf = "/root/testdata/sf0.001"
     source = ZoneSource("lookup", lookup=adapters.zone_lookup(spark, sf))
-    return enrich_trips(curate_trips(adapters.trips_raw(spark, sf)), source).cache()
+    table = enrich_trips(curate_trips(adapters.trips_raw(spark, sf)), source).cache()
+    yield table
+    table.unpersist()
 
 
 def test_one_pass_tables_equal_the_single_analyses(enriched):
     """Same columns, rows and order, whichever way a table is made."""
-    tables = report_tables(report_groups(enriched).cache())
+    tables = report_tables(report_groups(enriched))
     results, unmet = run_analyses(enriched)
     assert not unmet and set(results) == set(ANALYSES) <= set(tables)
     for name, result in results.items():

@@ -20,8 +20,8 @@ def export(table: DataFrame, path: str, format: str = "csv", *, single_file: boo
     if kind == "csv":
         writer.csv(path, header=True)
     elif kind == "json":
-        writer.json(
-            path, timestampFormat=ISO_TIME, timestampNTZFormat=ISO_TIME, ignoreNullFields=False
-        )
+        writer.options(
+            timestampFormat=ISO_TIME, timestampNTZFormat=ISO_TIME, ignoreNullFields=False
+        ).json(path)
     else:
         raise ValueError(f"unsupported format: {format}")
