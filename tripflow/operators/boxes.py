@@ -264,29 +264,26 @@ def grid_zones(
     """Cut the pickup area into a square grid of at most ``num_zones`` zones.
 
     Zones are numbered from 1 along the longitude, then the latitude. Bounds
-    the data cannot give are taken from ``default``.
+    the data cannot give are taken from ``default``. The four bounds are read
+    once, in one aggregation, so that using the zones does not repeat it.
     """
     side = isqrt(num_zones)
     if side < 1:
         raise ValueError("num_zones must be at least 1")
+    bounds = dict(vars(default))
     if {"pickup_longitude", "pickup_latitude"} <= set(trips.columns):
-        known = coordinate_bounds(trips)
-    else:
-        known = trips.sparkSession.range(1).select(
-            *[F.lit(None).cast("double").alias(c) for c in vars(default)]
-        )
-    bounds = known.select(*[F.coalesce(c, F.lit(v)).alias(c) for c, v in vars(default).items()])
-    cells = bounds.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(side * side - 1))))
+        known = coordinate_bounds(trips).first().asDict()
+        bounds.update({name: value for name, value in known.items() if value is not None})
 
     def edge(axis: str, step: Column) -> Column:
-        width = (F.col(f"max_{axis}") - F.col(f"min_{axis}")) / F.lit(float(side))
-        return F.col(f"min_{axis}") + step * width
-
-    row, place = F.floor(F.col("i") / side).cast("int"), F.col("i") % side
-    zone_id = F.col("i") + 1
-    return cells.select(
-        zone_id.alias("zone_id"),
-        F.concat(F.lit("Zone_"), zone_id.cast("string")).alias("zone_name"),
+        low, high = bounds[f"min_{axis}"], bounds[f"max_{axis}"]
+        return F.lit(low) + step * F.lit((high - low) / side)
+
+    index = F.col("id").cast("int")
+    row, place = F.floor(index / side).cast("int"), index % side
+    return trips.sparkSession.range(side * side).select(
+        (index + 1).alias("zone_id"),
+        F.concat(F.lit("Zone_"), (index + 1).cast("string")).alias("zone_name"),
         edge("longitude", place).alias("min_longitude"),
         edge("longitude", place + 1).alias("max_longitude"),
         edge("latitude", row).alias("min_latitude"),
