@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tripflow.constants import DEFAULT_BOUNDS, DEFAULT_GRID_ZONES, Bounds
 from tripflow.operators.columns import column
 
-# Cell sizes are powers of two, in degrees. Boxes of the shuffle join use every
-# third of them, to keep few sizes in use.
+# Cell sizes are powers of two, in degrees: those a single grid is chosen from, and
+# those that boxes of the shuffle join choose from, fewer because points try each.
 FINEST, COARSEST = -12, 12
+GRID_LEVELS = tuple(range(FINEST, COARSEST + 1, 2))
 LEVELS = tuple(range(FINEST, COARSEST + 1, 3))
 # Coordinates are clamped to this square for cell numbers only. Clamping keeps
 # order, so a point inside a box is still inside it and shares a cell with it.
@@ -113,9 +114,8 @@ def single_grid(boxes: DataFrame, max_cells: int, max_slots: int) -> tuple[int,
             cells = cells * (last - first + 1)
         return F.coalesce(F.sum(cells), F.lit(0.0))
 
-    levels = range(FINEST, COARSEST + 1)
-    listed = boxes.agg(*[listed_at(level) for level in levels]).first()
-    affordable = [level for level, cells in zip(levels, listed) if cells <= max_cells]
+    listed = boxes.agg(*[listed_at(level) for level in GRID_LEVELS]).first()
+    affordable = [level for level, cells in zip(GRID_LEVELS, listed) if cells <= max_cells]
     if not affordable:
         return None
     level = affordable[0]
