@@ -6,10 +6,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripflow.constants import LIMITS, Limits
+from tripflow.constants import (
+    CURATED_PREVIEW_COLUMNS,
+    ENRICHED_PREVIEW_COLUMNS,
+    LIMITS,
+    Limits,
+)
 from tripflow.functions.rules import is_floating, is_missing
 from tripflow.operators.cleaning import dedupe_keys, needed_for, survivor_order
-from tripflow.operators.columns import column, key_fields
+from tripflow.operators.columns import available, column, key_fields
 from tripflow.operators.derive import add_time_columns, duration_rule
 from tripflow.operators.outliers import outlier_rules
 
@@ -38,6 +43,16 @@ def preview(table: DataFrame, n: int = 5) -> DataFrame:
     return table.orderBy(*order).limit(n)
 
 
+def curated_preview(trips: DataFrame, n: int = 10) -> DataFrame:
+    """A few curated trips, in the columns that describe a trip."""
+    return preview(available(trips, CURATED_PREVIEW_COLUMNS), n)
+
+
+def enriched_preview(trips: DataFrame, n: int = 10) -> DataFrame:
+    """A few enriched trips, with their zone names."""
+    return preview(available(trips, ENRICHED_PREVIEW_COLUMNS), n)
+
+
 def null_profile(table: DataFrame) -> DataFrame:
     """Missing values (NULL or NaN) per column."""
     counts = table.agg(

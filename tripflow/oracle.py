@@ -428,6 +428,24 @@ BY_TRIP_ID = [
 ]
 
 
+PREVIEWS = {
+    "curated": [
+        "pickup_datetime", "dropoff_datetime", "trip_duration_min", "hour_of_day", "day_of_week",
+        "day_name", "trip_distance_km", "fare_amount", "passenger_count",
+    ],
+    "enriched": [
+        "pickup_datetime", "hour_of_day", "day_name", "pickup_zone_name", "dropoff_zone_name",
+        "trip_duration_min", "trip_distance_km", "fare_amount",
+    ],
+}
+
+
+def _preview(table: str) -> str:
+    columns = PREVIEWS[table]
+    order = ", ".join(f"{c} asc nulls first" for c in columns)
+    return f"select {', '.join(columns)} from {table} order by {order} limit 10"
+
+
 def all_oracles() -> dict[str, str]:
     def events(select: str) -> str:
         return EVENTS + select
@@ -499,6 +517,8 @@ from (select count(*) as initial_records from raw),
      (select count(*) as final_records from curated)"""
         ),
         "curated_trips": events("select * from curated"),
+        "curated_preview": events(_preview("curated")),
+        "enriched_preview": events(_preview("enriched")),
         "enrich_pickup_lookup": events(lookup_end["pickup"]),
         "enrich_dropoff_lookup": events(lookup_end["dropoff"]),
         "enriched_trips": events("select * from enriched"),

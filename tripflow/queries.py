@@ -238,10 +238,12 @@ QUERIES: dict[str, Query] = {
     "quality_funnel": _funnel(_raw),
     "data_quality_rate": _over(_funnel(_raw), quality.data_quality_rate, rounded),
     "curated_trips": _curated,
+    "curated_preview": _over(_curated, quality.curated_preview),
     # zones
     "enrich_pickup_lookup": pickup_lookup,
     "enrich_dropoff_lookup": dropoff_lookup,
     "enriched_trips": _enriched,
+    "enriched_preview": _over(_enriched, quality.enriched_preview),
     "zone_name_fallback": zone_names_from_ids,
     "zone_of_pickup_point": pickup_point,
     "zone_of_dropoff_point": dropoff_point,
