@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-EPOCH_LONGITUDE, EPOCH_LATITUDE = -74.25, 40.50
+WEST_EDGE, SOUTH_EDGE = -74.25, 40.50
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,10 +58,10 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(~_every(89), event % 8).cast("int").alias("payment_type"),
             (F.col("user_id") % 30).cast("int").alias("PULocationID"),
             ((F.col("user_id") * 7 + event) % 30).cast("int").alias("DOLocationID"),
-            _coordinate(EPOCH_LONGITUDE, 31, 500).alias("pickup_longitude"),
-            _coordinate(EPOCH_LATITUDE, 17, 450).alias("pickup_latitude"),
-            _coordinate(EPOCH_LONGITUDE, 37, 500).alias("dropoff_longitude"),
-            _coordinate(EPOCH_LATITUDE, 23, 450).alias("dropoff_latitude"),
+            _coordinate(WEST_EDGE, 31, 500).alias("pickup_longitude"),
+            _coordinate(SOUTH_EDGE, 17, 450).alias("pickup_latitude"),
+            _coordinate(WEST_EDGE, 37, 500).alias("dropoff_longitude"),
+            _coordinate(SOUTH_EDGE, 23, 450).alias("dropoff_latitude"),
             (1 + event % 5).cast("int").alias("passenger_count"),
         )
     )
