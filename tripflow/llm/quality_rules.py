@@ -110,10 +110,10 @@ def measures(docs: DataFrame) -> DataFrame:
 def compile_rules(rules=RULES) -> Column:
     """The table as one expression: the array of the names of the rules that a document breaks."""
     ratio = {
-        "mean_word_chars": F.col("word_chars") / F.col("n_words"),
-        "symbol_ratio": F.col("n_symbols") / F.col("n_words"),
-        "stop_word_ratio": F.col("n_stop_words") / F.col("n_words"),
-        "dup_line_ratio": F.col("n_dup_lines") / F.col("n_lines"),
+        "mean_word_chars": F.try_divide("word_chars", "n_words"),
+        "symbol_ratio": F.try_divide("n_symbols", "n_words"),
+        "stop_word_ratio": F.try_divide("n_stop_words", "n_words"),
+        "dup_line_ratio": F.try_divide("n_dup_lines", "n_lines"),
     }
     broken = []
     for name, measure, least, most in rules:

@@ -28,8 +28,8 @@ LENGTH = 200
 #: Bytes of an anchor; the wider, the fewer anchors occur by chance.
 ANCHOR = 48
 #: Anchors with more different segments than this are compared by digests of their strings.
-MOST_SEGMENTS = 256
-#: Bytes of one suffix array.
+MOST_SEGMENTS = 16_384
+#: Bytes of one suffix array, beyond which no further anchor is taken in.
 BLOCK = 1 << 20
 
 _OCCURRENCE = "_dk long, _tk long, anchor long, low int, high int"
@@ -155,34 +155,44 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     b_start = ends - b_counts
     rank_in_bucket = np.arange(len(direct)) - (np.cumsum(b_counts) - b_counts)[first]
     order[b_start[first] + rank_in_bucket] = direct
-    fronts = (ends - counts).tolist()
-    out, is_a, letters = order.tolist(), (~type_b).tolist(), symbols.tolist()
-    for at in range(n):
-        before = out[at] - 1
-        if before >= 0 and is_a[before]:
-            letter = letters[before]
-            out[fronts[letter]] = before
+    # Per place, the symbol before it if a type A suffix starts there, else -1.
+    ahead = np.full(n, -1, np.int64)
+    ahead[1:] = np.where(type_b[:-1], -1, symbols[:-1])
+    fronts, out, ahead = (ends - counts).tolist(), order.tolist(), ahead.tolist()
+    for place in out:
+        letter = ahead[place]
+        if letter >= 0:
+            out[fronts[letter]] = place - 1
             fronts[letter] += 1
     return np.array(out, np.int64)
 
 
-def _sort_directly(symbols: np.ndarray, chosen: np.ndarray, depth: int) -> np.ndarray:
-    """The chosen suffixes in order of their first ``depth`` symbols, equal ones by place.
-
-    Compares as many symbols at once as fit in 63 bits, and looks only at suffixes
-    that are still equal to another one.
-    """
+def _packed(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
+    """At every place as many of the next symbols as fit in 63 bits, and how many these are."""
     kinds, dense = np.unique(symbols, return_inverse=True)
     bits = max(1, int(len(kinds) - 1).bit_length())
-    per = 63 // bits
-    padded = np.concatenate((dense, np.zeros(depth + 2 * per, np.int64)))
-    packed = np.zeros(len(symbols) + depth + per, np.int64)
+    per = min(63 // bits, depth)
+    padded = np.concatenate((dense, np.zeros(depth + 3 * per, np.int64)))
+    packed = np.zeros(len(symbols) + depth + 2 * per, np.int64)
     for k in range(per):
         packed = (packed << bits) | padded[k : k + len(packed)]
-    order = chosen[np.argsort(packed[chosen], kind="stable")]
+    return packed, per
+
+
+def _sort_directly(symbols: np.ndarray, chosen: np.ndarray, depth: int) -> np.ndarray:
+    """The chosen suffixes in order of their first ``depth`` symbols; equal ones in any order.
+
+    Looks again only at suffixes that are still equal to another one. What follows is
+    compared by the ranks of packed symbols, two at a time where these fit in a key.
+    """
+    packed, per = _packed(symbols, depth)
+    order = chosen[np.argsort(packed[chosen])]
     keys = packed[order]
     new = np.concatenate(([True], keys[1:] != keys[:-1]))
     group = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    _, rank = np.unique(packed, return_inverse=True)
+    bits = int(len(packed)).bit_length()
+    steps = 2 if 3 * bits <= 63 else 1
     open_at, done = np.arange(len(order)), per
     while done < depth:
         inside = group[open_at]
@@ -191,34 +201,34 @@ def _sort_directly(symbols: np.ndarray, chosen: np.ndarray, depth: int) -> np.nd
         open_at = open_at[~alone]
         if not len(open_at):
             break
-        part, inside = order[open_at], group[open_at]
-        near, far = packed[part + done], packed[np.minimum(part + done + per, len(packed) - 1)]
-        by = np.lexsort((far, near, inside))
-        part, inside, near, far = part[by], inside[by], near[by], far[by]
-        order[open_at] = part
-        new = np.concatenate(([True], (inside[1:] != inside[:-1]) | (near[1:] != near[:-1]) | (far[1:] != far[:-1])))
+        part, keys = order[open_at], group[open_at]
+        for k in range(steps):
+            keys = (keys << bits) | rank[part + (done + k * per)]
+        by = np.argsort(keys)
+        order[open_at], keys = part[by], keys[by]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
         # A group is named by the place of its first member.
         group[open_at] = open_at[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-        done += 2 * per
+        done += steps * per
     return order
 
 
 def adjacent_common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """The common prefix of each suffix with the one before it in order, up to ``depth``."""
-    n = len(order)
-    padded = np.concatenate((text.astype(np.int32), np.full(depth + 8, -1, np.int32)))
-    common = np.zeros(n, np.int64)
-    open_at = np.arange(1, n)
-    shift = 0
-    while shift < depth and len(open_at):
-        a, b = order[open_at - 1] + shift, order[open_at] + shift
-        step = min(8, depth - shift)
-        same = np.ones(len(open_at), bool)
-        for k in range(step):
-            same &= padded[np.minimum(a + k, len(padded) - 1)] == padded[np.minimum(b + k, len(padded) - 1)]
-            common[open_at[same]] = shift + k + 1
+    """The common prefix of each suffix with the one before it in order, up to ``depth``.
+
+    Symbols are compared packed: prefixes shorter than ``depth`` are rounded down to whole packs.
+    """
+    packed, per = _packed(text, depth)
+    common = np.zeros(len(order), np.int64)
+    open_at, shift = np.arange(1, len(order)), 0
+    while len(open_at):
+        at = min(shift, depth - per)
+        same = packed[order[open_at - 1] + at] == packed[order[open_at] + at]
         open_at = open_at[same]
-        shift += step
+        common[open_at] = at + per
+        if at + per == depth:
+            break
+        shift += per
     return common
 
 
@@ -355,7 +365,13 @@ def remove_repeats(
     texts = rows.select("_dk", "_tk", "_text").join(listed, ["_dk", "_tk"])
     segments = stage(map_in_arrow(texts, partial(_segments, length=length), _SEGMENT), "suffix-segments")
     kinds = stage(segments.groupBy("anchor", "digest").agg(F.count("*").alias("_n")), "suffix-kinds")
-    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("_kinds")).where("_kinds > 1")
+    # Where all segments of an anchor occur twice as a whole, nothing is left to sort.
+    mixed = (
+        kinds.groupBy("anchor")
+        .agg(F.count("*").alias("_kinds"), F.min("_n").alias("_least"))
+        .where("_kinds > 1 AND _least = 1")
+        .drop("_least")
+    )
     several = stage(
         segments.where("segment IS NOT NULL")
         .join(mixed.select("anchor"), "anchor", "left_semi")
