@@ -169,6 +169,15 @@ def test_sketch_distance_follows_similarity():
     assert distance(0, 0) == 0 and distance(0, 1) <= near_dedup.MOST_BITS < distance(0, 2)
 
 
+def test_whole_sketch_never_differs_in_more_bits_than_items():
+    rng = np.random.default_rng(1)
+    items = rng.integers(0, 2**63, 300).astype(np.uint64)
+    for other in (1, 20, 80):
+        near = np.concatenate((items[other:], rng.integers(0, 2**63, other).astype(np.uint64)))
+        bits = near_dedup.whole_sketch(items) ^ near_dedup.whole_sketch(near)
+        assert other < sum(int(x).bit_count() for x in bits.view(np.uint64)) + other <= 3 * other
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.label for r in connected_components(edges).collect()}

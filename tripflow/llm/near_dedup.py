@@ -2,12 +2,14 @@
 
 A text's MinHash samples make band keys, which find candidates, and are folded into a
 256-bit parity bitmap (odd sketch): each sample flips one bit. The share of bits in which
-two bitmaps differ estimates a high similarity closely, so most wrong
-candidates fall before texts are compared; the rest is confirmed on the full sets.
+two bitmaps differ estimates a high similarity closely. A second odd sketch folds in
+the whole set: it differs in at most as many bits as the sets have items that
+are not common, so it rules a pair out for certain. Most wrong candidates fall by these before
+texts are compared; the rest is confirmed on the full sets.
 
 Candidates of one band key are never all paired. First every one is compared with the
-bucket's smallest, then, where a bucket still holds several components, with another
-member; only pairs that are in different components after that are looked at singly.
+bucket's smallest, then, where a bucket still holds several components, with a
+random member of each bucket; only pairs that are in different components after that are looked at singly.
 Two members of one component need no link of their own, so none is lost.
 """
 
@@ -31,6 +33,7 @@ PERCENT = 80
 #: 32 keys of 4 samples: a pair at a similarity of 0.8 shares none with probability 5e-8.
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 256
+WHOLE_BITS = 512
 #: Bitmaps of a pair at 0.8 differ in 42 bits, give or take 8; beyond this many (0.55) it is no candidate.
 MOST_BITS = 80
 
@@ -39,8 +42,12 @@ _random = np.random.default_rng(4)
 _FACTORS = (_random.integers(0, 2**31, _SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _TERMS = _random.integers(0, 2**32, _SAMPLES, dtype=np.uint32)[:, None]
 
-_SIGNED = "_dk long, _tk long, n_shingles long, digest binary, bands array<long>, s0 long, s1 long, s2 long, s3 long"
-_SKETCH = ["s0", "s1", "s2", "s3"]
+_SAMPLED = [f"s{k}" for k in range(SKETCH_BITS // 64)]
+_WHOLE = [f"t{k}" for k in range(WHOLE_BITS // 64)]
+_SKETCH = [*_SAMPLED, *_WHOLE, "n_shingles"]
+_SIGNED = "_dk long, _tk long, n_shingles long, digest binary, bands array<long>" + "".join(
+    f", {c} long" for c in (*_SAMPLED, *_WHOLE)
+)
 
 
 def min_samples(items: np.ndarray) -> np.ndarray:
@@ -70,12 +77,19 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(n, SKETCH_BITS // 64)
 
 
+def whole_sketch(items: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a whole set."""
+    odd = np.bincount((items & U64(WHOLE_BITS - 1)).astype(np.int64), minlength=WHOLE_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
             data, starts = utf8(batch.column(2))
             counts, digests, samples, filled = [], [], [], []
+            whole_sets = np.zeros((batch.num_rows, len(_WHOLE)), np.int64)
             for i in range(batch.num_rows):
                 items = shingles(word_hashes(data[starts[i] : starts[i + 1]]), size)
                 counts.append(len(items))
@@ -83,6 +97,7 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
                 if len(items):
                     filled.append(i)
                     samples.append(min_samples(items))
+                    whole_sets[i] = whole_sketch(items)
             keys = [[] for _ in counts]
             sketch = np.zeros((len(counts), 4), np.int64)
             if filled:
@@ -97,9 +112,9 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
-                    *[pa.array(sketch[:, k]) for k in range(4)],
+                    *[pa.array(column) for column in (*sketch.T, *whole_sets.T)],
                 ],
-                names=["_dk", "_tk", "n_shingles", "digest", "bands", *_SKETCH],
+                names=["_dk", "_tk", "n_shingles", "digest", "bands", *_SAMPLED, *_WHOLE],
             )
 
 
@@ -125,8 +140,15 @@ def _linked(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Itera
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _distance(left: list[Column], right: list[Column]) -> Column:
-    return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(left, right, strict=True)), F.lit(0))
+def _may_link(left: str, right: str, percent: int) -> Column:
+    """Whether the sketches, named with these prefixes, allow the similarity."""
+
+    def differ(names: list[str]) -> Column:
+        bits = [F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in names]
+        return sum(bits[1:], bits[0])
+
+    both = F.col(f"{left}n_shingles") + F.col(f"{right}n_shingles")
+    return (differ(_SAMPLED) <= MOST_BITS) & (differ(_WHOLE) * (100 + percent) <= both * (100 - percent))
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -154,33 +176,26 @@ def _mixed_buckets(live: DataFrame, comps: DataFrame | None) -> DataFrame:
     return stage(marked.join(mixed.select("key"), "key", "left_semi"), "near-mixed")
 
 
-def _star_pairs(members: DataFrame, turn: int) -> DataFrame:
+def _star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each member with one chosen member of its bucket, where components and sketches allow a new link."""
-    rank = F.col("digest") if turn == 0 else F.xxhash64(F.lit(turn), "digest")
+    rank = F.col("digest") if turn == 0 else F.xxhash64(F.lit(turn), "key", "digest")
     chosen = members.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "digest", "label", *_SKETCH)).alias("_r"))
-    near = _distance([F.col(s) for s in _SKETCH], [F.col(f"_r.{s}") for s in _SKETCH]) <= MOST_BITS
     return (
         members.join(chosen, "key")
-        .where((F.col("label") != F.col("_r.label")) & near)
+        .where((F.col("label") != F.col("_r.label")) & _may_link("", "_r.", percent))
         .select(F.col("digest").alias("a"), F.col("_r.digest").alias("b"))
         .distinct()
     )
 
 
-def _other_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket that are still in different components and have close sketches."""
-    left = members.select("key", *[F.col(c).alias(f"_l_{c}") for c in ("digest", "label", *_SKETCH)])
-    right = members.select("key", *[F.col(c).alias(f"_r_{c}") for c in ("digest", "label", *_SKETCH)])
-    right = right.withColumnRenamed("key", "_key")
-    near = _distance([F.col(f"_l_{s}") for s in _SKETCH], [F.col(f"_r_{s}") for s in _SKETCH]) <= MOST_BITS
+def _other_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket that are still in different components and that sketches allow."""
+    columns = ("key", "digest", "label", *_SKETCH)
+    left, right = (members.select(*[F.col(c).alias(side + c) for c in columns]) for side in ("_l_", "_r_"))
+    other = (F.col("_l_digest") < F.col("_r_digest")) & (F.col("_l_label") != F.col("_r_label"))
+    same = F.col("_l_key") == F.col("_r_key")
     return (
-        left.join(
-            right,
-            (F.col("key") == F.col("_key"))
-            & (F.col("_l_digest") < F.col("_r_digest"))
-            & (F.col("_l_label") != F.col("_r_label"))
-            & near,
-        )
+        left.join(right, same & other & _may_link("_l_", "_r_", percent))
         .select(F.col("_l_digest").alias("a"), F.col("_r_digest").alias("b"))
         .distinct()
     )
@@ -220,7 +235,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     comps = None
     for turn in (0, 1, 2):
         members = _mixed_buckets(live, comps)
-        pairs = _star_pairs(members, turn) if turn < 2 else _other_pairs(members)
+        pairs = _star_pairs(members, turn, percent) if turn < 2 else _other_pairs(members, percent)
         edges = stage(verify_pairs(stage(pairs, "near-pairs"), texts, size, percent), "near-edges")
         comps = _merge(comps, edges)
     labelled = (
