@@ -182,3 +182,20 @@ def test_overview_and_preview(spark, small):
     assert {r["total_records"] for r in overview} == {1039}
     first = rows(quality.preview(raw))
     assert rows(quality.preview(raw.repartition(5))) == first and len(first) == 5
+
+
+def test_text_ids_stay_and_tell_trips_apart(spark):
+    from tripflow.operators.cleaning import dedupe_trips
+    from tripflow.operators.columns import conform_types
+
+    trips = conform_types(spark.createDataFrame([("a-1", 1.0), ("b-2", 2.0), ("c-3", 3.0)], "trip_id string, tip double"))
+    assert sorted(r["trip_id"] for r in dedupe_trips(trips).collect()) == ["a-1", "b-2", "c-3"]
+    narrow = conform_types(spark.createDataFrame([(1,)], "trip_id int"))
+    assert narrow.schema["trip_id"].dataType.simpleString() == "bigint"
+
+
+def test_columns_without_an_order_are_carried(spark):
+    from tripflow.operators.cleaning import dedupe_trips
+
+    trips = spark.createDataFrame([(1, 5.0, {"k": "b"}), (1, 4.0, {"k": "a"})], "trip_id bigint, tip double, more map<string,string>")
+    assert [tuple(r) for r in dedupe_trips(trips).collect()] == [(1, 4.0, {"k": "a"})]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import cell
 from tripflow import adapters
@@ -51,7 +52,7 @@ def test_analyses_report_missing_columns(enriched):
 
 def test_report_without_zones_and_payments(enriched):
     bare = enriched.select("hour_of_day", "fare_amount", "trip_distance_km", "trip_duration_min")
-    assert set(report_tables(report_groups(bare))) == {"trips_by_hour", "trip_duration_stats", "totals"}
+    assert set(report_tables(report_groups(bare))) == {"trips_by_hour", "trip_duration_stats", "hour_extremes", "totals"}
 
 
 def test_summary_of_no_trips(enriched):
@@ -104,13 +105,32 @@ def test_run_with_boxes_and_curated_table(spark, trip_dir, tmp_path):
         curated_path=str(tmp_path / "curated"), format="json", profile=False,
     )
     assert spark.read.parquet(str(tmp_path / "curated")).count() == preprocess(spark, trip_dir).count()
-    assert report.tables["totals"].first()["total_trips"] == 499
+    trips = preprocess(spark, trip_dir).count()
+    assert report.tables["totals"].first()["total_trips"] == trips == 798
+    coverage = report.tables["zone_coverage"].first()
+    assert coverage["total_trips"] == trips > coverage["with_pickup_zone"] > 499
+    assert report.exports["zone_coverage"].endswith("zone_coverage.json")
+    dropped = run_report(
+        spark, trip_dir, str(tmp_path / "dropped"), boxes_path=str(boxes), profile=False, unmatched="drop"
+    )
+    assert dropped.tables["totals"].first()["total_trips"] == trips
+    activity = dropped.tables["duration_by_zone"].agg(F.sum("trip_count")).first()[0]
+    assert activity == 499
     assert report.exports["zones_activity"].endswith("zone_activity.json")
 
 
 def test_run_with_a_grid(spark, trip_dir, tmp_path):
     report = run_report(spark, trip_dir, str(tmp_path / "out"), profile=False)
-    assert report.tables["zones_activity"].count() == 16
+    zones = [r["zone_id"] for r in report.tables["zones_activity"].collect()]
+    assert sorted(z for z in zones if z) == list(range(1, 17))
+    assert report.tables["totals"].first()["total_trips"] == 798
+
+
+def test_arguments_are_checked_first(spark, tmp_path):
+    for wrong in ({"format": "xlsx"}, {"unmatched": "some"}, {"null_duration": "some"}):
+        with pytest.raises(ValueError):
+            run_report(spark, "/no/such/place", str(tmp_path / "out"), **wrong)
+    assert not (tmp_path / "out").exists()
 
 
 def test_views(spark, enriched):

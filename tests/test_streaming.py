@@ -53,3 +53,21 @@ def test_stream_lookup(spark, curated, small, tmp_path):
     lookup = adapters.zone_lookup(spark, small)
     written = drained(spark, attach_lookup(source(spark, curated), lookup, "pickup"), tmp_path)
     assert bag(written) == bag(attach_lookup(spark.read.parquet(curated), lookup, "pickup"))
+
+
+def test_hours_do_not_move_with_the_session_zone(spark, zone_of_session, tmp_path):
+    text = [("2025-03-09 01:30:00",), ("2025-03-09 02:30:00",), ("2025-03-09 03:30:00",), ("2025-03-09 09:00:00",)]
+    trips = spark.createDataFrame(text, "t string").selectExpr(
+        "cast(t as timestamp_ntz) as pickup_datetime", "1.0D as trip_duration_min", "1.0D as trip_distance_km", "1.0D as fare_amount"
+    )
+    path = str(tmp_path / "trips")
+    trips.write.parquet(path)
+    found = []
+    for k, zone in enumerate(("UTC", "America/New_York")):
+        zone_of_session(zone)
+        (tmp_path / str(k)).mkdir()
+        batch = closed_hours(spark.read.parquet(path))
+        found.append([str(r["hour_start"]) for r in batch.orderBy("hour_start").collect()])
+        written = drained(spark, hourly_demand_stream(source(spark, path)), tmp_path / str(k))
+        assert bag(rounded(written)) == bag(rounded(batch))
+    assert found[0] == found[1] and [h[11:13] for h in found[0]] == ["01", "02", "03"]

@@ -47,7 +47,7 @@ def attached(spark, points, zones, **options):
     )
 
 
-WAYS = {"in place": {}, "shuffled": {"max_cells": 0}}
+WAYS = {"as Spark chooses": {}, "merged": {"join": "merge"}}
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -61,8 +61,7 @@ def test_boxes_equal_brute_force(spark, way, seed):
     edges = [(z[2], z[5]) for z in zones]
     points = [(i, *p) for i, p in enumerate(edges)]
     points += [(1000 + i, r.uniform(-75, -73), r.uniform(40, 41)) for i in range(300)]
-    options = WAYS[way] or {"max_slots": 60}
-    assert attached(spark, points, zones, **options) == brute_force(points, zones)
+    assert attached(spark, points, zones, **WAYS[way]) == brute_force(points, zones)
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -103,16 +102,41 @@ def test_unmatched_trips(spark):
         boxes.attach_boxes(trips, zones, "pickup", unmatched="other")
 
 
-def test_crowded_cells_and_many_cells_go_by_shuffle(spark):
-    same = spark.range(20).select(
-        F.col("id").cast("int").alias("zone_id"),
-        F.lit("n").alias("zone_name"),
-        *[F.lit(v).alias(c) for c, v in zip(("min_longitude", "max_longitude", "min_latitude", "max_latitude"), (0.0, 1.0, 0.0, 1.0))],
-    )
-    usable = boxes.usable_boxes(same)
-    assert boxes.single_grid(usable, boxes.MAX_CELLS, 12) is None
-    assert boxes.single_grid(usable, boxes.MAX_CELLS, 20)[1] == 20
-    assert boxes.single_grid(usable, 10, 20) is None
+def test_zero_signs_and_other_values_stay(spark):
+    trips = spark.createDataFrame([(1, -0.0, 0.0, -0.0)] * 4 + [(2, None, 1.0, 1.0)], POINT + ", fare_amount double")
+    zones = spark.createDataFrame([(1, "A", 0.0, 1.0, 0.0, 1.0)], BOX)
+    for way in WAYS.values():
+        got = boxes.attach_boxes(trips, zones, "pickup", unmatched="keep", **way).orderBy("trip_id").collect()
+        assert [r["pickup_zone_id"] for r in got] == [1, 1, 1, 1, None]
+        assert all(str(r["fare_amount"]) == "-0.0" == str(r["pickup_longitude"]) for r in got[:4])
+
+
+def test_plans_are_lazy_and_merged_on_request(spark, small):
+    trips = curate_trips(adapters.trips_raw(spark, small))
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    merged = boxes.attach_boxes(trips, adapters.many_boxes(spark, small), "pickup", join="merge")
+    grid = boxes.attach_grid(trips, boxes.trip_grid(trips), "pickup")
+    reads = len(status.getJobIdsForGroup("building"))
+    spark.sparkContext.setJobGroup("running", "running")
+    assert reads <= 3  # the adapters read Parquet footers
+    assert plan(merged).count("SortMergeJoin") >= 2 and "BroadcastHashJoin" not in plan(merged).split("Initial")[0].replace("nation", "")
+    assert grid.count() > 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_grid_arithmetic_equals_its_boxes(spark, seed):
+    r = random.Random(seed)
+    points = [(i, round(r.uniform(-1, 1), 2), round(r.uniform(-1, 1), 2)) for i in range(300)]
+    points += [(900, None, 0.0), (901, NAN, 0.0), (902, -1.0, 1.0), (903, 1.0, -1.0)]
+    trips = spark.createDataFrame(points, POINT)
+    grid = boxes.trip_grid(trips, 49)
+    want = boxes.attach_boxes(trips, boxes.zones_of_grid(grid), "pickup", unmatched="keep")
+    assert bag(boxes.attach_grid(trips, grid, "pickup", unmatched="keep")) == bag(want)
+    corners = [(row[c], row[d]) for row in boxes.zones_of_grid(grid).collect() for c in ("min_longitude", "max_longitude") for d in ("min_latitude", "max_latitude")]
+    edges = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(corners)], POINT)
+    want = boxes.attach_boxes(edges, boxes.zones_of_grid(grid), "pickup", unmatched="keep")
+    assert bag(boxes.attach_grid(edges, grid, "pickup", unmatched="keep")) == bag(want)
 
 
 def test_hot_point(spark):
@@ -185,6 +209,16 @@ def test_each_end_is_decided_on_its_own(spark):
     assert (row["pickup_zone_id"], row["dropoff_zone_name"]) == (None, "Zone_7")
 
 
+def test_repeated_lookup_ids_multiply_no_trip(spark):
+    trips = spark.createDataFrame([(1,), (2,)], "pickup_location_id int")
+    names = spark.createDataFrame(
+        [(1, "b", "Z", "s"), (1, "b", "A", "s"), (2, "b", "B", "s")],
+        "location_id int, borough string, zone_name string, service_zone string",
+    )
+    got = lookup.attach_lookup(trips, names, "pickup").collect()
+    assert sorted(r["pickup_zone_name"] for r in got) == ["A", "B"]
+
+
 def test_unknown_id_keeps_the_trip(spark, small):
     trips = spark.createDataFrame([(99,), (None,), (3,)], "pickup_location_id int")
     got = lookup.attach_lookup(trips, adapters.zone_lookup(spark, small), "pickup")

@@ -6,7 +6,6 @@ import argparse
 
 from tripflow.constants import DEFAULT_GRID_ZONES, RESULT_DATABASE
 from tripflow.plans.report import run_report
-from tripflow.plans.summary import summary_of_tables
 from tripflow.session import create_session
 from tripflow.sinks import TableStore
 
@@ -22,6 +21,7 @@ def main() -> None:
     parser.add_argument("--store", help="also store the result tables below this location")
     parser.add_argument("--format", default="csv", choices=["csv", "json"])
     parser.add_argument("--null-duration", default="drop", choices=["drop", "keep"])
+    parser.add_argument("--unmatched", default="keep", choices=["keep", "drop"], help="trips outside all zones")
     parser.add_argument("--no-profile", action="store_true", help="skip the quality tables")
     args = parser.parse_args()
 
@@ -37,9 +37,10 @@ def main() -> None:
         store=TableStore(RESULT_DATABASE, args.store) if args.store else None,
         format=args.format,
         null_duration=args.null_duration,
+        unmatched=args.unmatched,
         profile=not args.no_profile,
     )
-    summary_of_tables(report.tables).show(truncate=False, vertical=True)
+    report.tables["summary"].show(truncate=False, vertical=True)
     for name, target in report.exports.items():
         print(f"{name}: {target}")
     for name, status in report.stored.items():

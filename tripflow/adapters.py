@@ -122,6 +122,10 @@ def many_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _boxes(_table(spark, sf_dir, "customer"), key, F.col("c_name"), place, 9, 6)
 
 
+def _volume_coordinate(edge: float, number: Column, steps: int) -> Column:
+    return F.lit(edge) + (number % steps).cast("double") / F.lit(1000.0)
+
+
 def trips_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips from ``lineitem`` with the zones of its supplier and customer.
 
@@ -144,5 +148,12 @@ def trips_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
             ((line + order) % 8).cast("int").alias("payment_type"),
             F.col("s_nationkey").alias("PULocationID"),
             F.col("c_nationkey").alias("DOLocationID"),
+            _volume_coordinate(WEST_EDGE, line * 31 + order * 7, 500).alias("pickup_longitude"),
+            _volume_coordinate(SOUTH_EDGE, line * 17 + order * 3, 450).alias("pickup_latitude"),
         )
     )
+
+
+def trips_total_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips with a total amount in place of the fare."""
+    return trips_raw(spark, sf_dir).withColumnRenamed("fare_amount", "total_amount")

@@ -1,39 +1,37 @@
 """Zones from coordinates: bounding boxes and generated grids.
 
 A point belongs to the box with the lowest zone id that contains it, edges
-included. Both ways below turn "contains" into an equi-join on grid cells: a
-box is listed under the cells it touches, a point looks up the cell it is in,
-and the box's own bounds decide.
-
-* In place: one grid for all boxes, as fine as ``MAX_CELLS`` listed cells allow,
-  with at most ``MAX_SLOTS`` boxes in a cell. Both are counted first. The cells
-  are broadcast and every trip is matched where it is, without a shuffle.
-* By shuffle, for any number and overlap of boxes: each box is listed at a cell
-  size like its own, so it has at most four cells; trips and cells meet in an
-  ordinary join, and each trip keeps its lowest match.
+included. "Contains" is turned into an equi-join on grid cells: a box is listed under
+the at most four cells of a size like its own that it touches, a point looks up
+its cell of every size, and the box's own bounds decide.
+
+Only the distinct points of the trips look up cells, and get their lowest zone; the
+trips then find their point by an ordinary join. Trips move once at most, however
+many boxes there are and however they overlap. Nothing is counted first: which
+side of a join is broadcast is Spark's decision, and the result does not depend on it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import AtomicType
 
 from tripflow.constants import DEFAULT_BOUNDS, DEFAULT_GRID_ZONES, Bounds
 from tripflow.operators.columns import column
 
-# Cell sizes are powers of two, in degrees: those a single grid is chosen from, and
-# those that boxes of the shuffle join choose from, fewer because points try each.
+# Cell sizes are powers of two, in degrees.
 FINEST, COARSEST = -12, 12
-GRID_LEVELS = tuple(range(FINEST, COARSEST + 1, 2))
 LEVELS = tuple(range(FINEST, COARSEST + 1, 3))
 # Coordinates are clamped to this square for cell numbers only. Clamping keeps
 # order, so a point inside a box is still inside it and shares a cell with it.
 CELL_LIMIT = 512.0
 CELLS_PER_AXIS = 2**22
-MAX_CELLS = 50_000
-MAX_SLOTS = 12
-ZONE_STRUCT = "struct<zone_id:int,zone_name:string>"
+# Trips without coordinates match nothing; they are spread over so many join keys.
+SPREAD = 4096
+AXES = ("longitude", "latitude")
 
 
 def clamped(value: Column) -> Column:
@@ -100,56 +98,55 @@ def own_level(boxes: DataFrame) -> DataFrame:
     return boxes.withColumn("__level", level)
 
 
-def single_grid(boxes: DataFrame, max_cells: int, max_slots: int) -> tuple[int, int] | None:
-    """Finest level that lists at most ``max_cells`` cells, and its fullest cell.
-
-    None if no level is coarse enough or the fullest cell exceeds ``max_slots``.
-    Runs two small jobs that each bring one row of counts to the driver.
-    """
-
-    def listed_at(level: int) -> Column:
-        cells = F.lit(1.0)
-        for axis in ("longitude", "latitude"):
-            first, last = _first_and_last_cell(axis, F.lit(level))
-            cells = cells * (last - first + 1)
-        return F.coalesce(F.sum(cells), F.lit(0.0))
-
-    listed = boxes.agg(*[listed_at(level) for level in GRID_LEVELS]).first()
-    affordable = [level for level, cells in zip(GRID_LEVELS, listed) if cells <= max_cells]
-    if not affordable:
-        return None
-    level = affordable[0]
-    cells = box_cells(boxes.withColumn("__level", F.lit(level)))
-    fullest = cells.groupBy("__cell").count().agg(F.max("count")).first()[0] or 0
-    return (level, fullest) if fullest <= max_slots else None
+def zones_of_points(points: DataFrame, boxes: DataFrame, join: str | None = None) -> DataFrame:
+    """(x, y, zone) of the points (x, y) that a box contains; ``join`` is a join hint."""
+    cells = box_cells(own_level(usable_boxes(boxes))).select(
+        "__level",
+        "__cell",
+        F.struct("zone_id", "zone_name").alias("__zone"),
+        *[F.col(f"{side}_{axis}").alias(f"__{side}_{axis}") for side in ("min", "max") for axis in AXES],
+    )
+    if join:
+        cells = cells.hint(join)
+    levels = F.explode(F.array(*[F.lit(level) for level in LEVELS]))
+    looked_up = points.withColumn("__p_level", levels).withColumn(
+        "__p_cell", point_cell(F.col("__x"), F.col("__y"), F.col("__p_level"))
+    )
+    inside = contains(lambda bound: F.col(f"__{bound}"), F.col("__x"), F.col("__y"))
+    same = (F.col("__p_level") == F.col("__level")) & (F.col("__p_cell") == F.col("__cell"))
+    return looked_up.join(cells, same & inside).groupBy("__x", "__y").agg(F.min("__zone").alias("__zone"))
 
 
 def attach_boxes(
-    trips: DataFrame,
-    boxes: DataFrame,
-    end: str,
-    *,
-    unmatched: str = "drop",
-    max_cells: int = MAX_CELLS,
-    max_slots: int = MAX_SLOTS,
-    rows_distinct: bool = False,
+    trips: DataFrame, boxes: DataFrame, end: str, *, unmatched: str = "drop", join: str | None = None
 ) -> DataFrame:
     """Add ``<end>_zone_id`` and ``<end>_zone_name`` of the containing box.
 
     ``unmatched='drop'`` loses trips outside all boxes, ``'keep'`` gives them a
-    NULL zone. ``rows_distinct`` promises that no two trips are identical, which
-    saves the shuffle join a step; the result does not depend on it.
+    NULL zone. ``join`` names a Spark join hint to use instead of Spark's own choice.
+    Identical trips, and the values of all columns, stay as they are.
     """
-    if unmatched not in ("drop", "keep"):
-        raise ValueError(f"unmatched must be 'drop' or 'keep', not {unmatched!r}")
-    usable = usable_boxes(boxes)
-    grid = single_grid(usable, max_cells, max_slots)
-    if grid is not None:
-        matched = _match_in_place(trips, usable, end, *grid)
-    else:
-        matched = _match_by_shuffle(trips, usable, end, rows_distinct)
+    _check_unmatched(unmatched)
+    x, y = F.col(f"{end}_longitude"), F.col(f"{end}_latitude")
+    known = x.isNotNull() & y.isNotNull()
+    points = trips.where(known).select(x.alias("__x"), y.alias("__y")).distinct()
+    zones = zones_of_points(points, boxes, join).withColumn("__found", F.lit(True))
+    if join:
+        zones = zones.hint(join)
+    # An unknown point would send all its trips to one task of the join.
+    plain = [column(f.name) for f in trips.schema.fields if isinstance(f.dataType, AtomicType)]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(SPREAD)).cast("double")
+    keyed = trips.withColumns(
+        {
+            "__at_x": F.when(known, x).otherwise(spread),
+            "__at_y": F.when(known, y).otherwise(0.0),
+            "__known": known,
+        }
+    )
     if unmatched == "drop":
-        matched = matched.where(F.col("__zone").isNotNull())
+        keyed = keyed.where("__known")
+    same = (F.col("__at_x") == F.col("__x")) & (F.col("__at_y") == F.col("__y")) & (F.col("__known") == F.col("__found"))
+    matched = keyed.join(zones, same, "inner" if unmatched == "drop" else "left")
     return matched.select(
         *[column(c) for c in trips.columns],
         F.col("__zone.zone_id").alias(f"{end}_zone_id"),
@@ -157,89 +154,9 @@ def attach_boxes(
     )
 
 
-def _match_in_place(
-    trips: DataFrame, boxes: DataFrame, end: str, level: int, slots: int
-) -> DataFrame:
-    """Broadcast the cells; a point tries its cell's boxes in zone order.
-
-    The fullest cell has ``slots`` boxes, so the tries are written out as that
-    many plain comparisons, which Spark compiles, instead of an array function,
-    which it interprets.
-    """
-    if slots == 0:
-        return trips.withColumn("__zone", F.lit(None).cast(ZONE_STRUCT))
-    longitude, latitude = F.col(f"{end}_longitude"), F.col(f"{end}_latitude")
-    candidate = F.struct(
-        "zone_id", "zone_name", "min_longitude", "max_longitude", "min_latitude", "max_latitude"
-    )
-    cells = (
-        box_cells(boxes.withColumn("__level", F.lit(level)))
-        .groupBy("__cell")
-        .agg(F.sort_array(F.collect_list(candidate)).alias("__boxes"))
-        .select(
-            "__cell",
-            F.transform(
-                "__boxes",
-                lambda b: F.struct(
-                    b.getField("zone_id").alias("zone_id"),
-                    b.getField("zone_name").alias("zone_name"),
-                ),
-            ).alias("__zones"),
-            *[F.get("__boxes", F.lit(i)).alias(f"__slot_{i}") for i in range(slots)],
-        )
-    )
-    place = F.lit(None).cast("int")
-    for i in reversed(range(slots)):
-        box = F.col(f"__slot_{i}")
-        place = F.when(contains(box.getField, longitude, latitude), i).otherwise(place)
-    cell = point_cell(longitude, latitude, F.lit(level))
-    found = trips.withColumn("__cell", cell).join(F.broadcast(cells), "__cell", "left")
-    return found.withColumn("__zone", F.get("__zones", place))
-
-
-def _match_by_shuffle(
-    trips: DataFrame, boxes: DataFrame, end: str, rows_distinct: bool
-) -> DataFrame:
-    """Equi-join trips and boxes on the cell, then keep each trip's lowest box.
-
-    Trips are identified by all their columns; identical ones are first counted,
-    and restored at the end. The join reads both sides straight from a shuffle,
-    the form in which adaptive execution splits a crowded cell. The cell sizes in
-    use, at most ``len(LEVELS)``, are read first.
-    """
-    leveled = own_level(boxes)
-    levels = sorted(row[0] for row in leveled.select("__level").distinct().collect())
-    names = [column(c) for c in trips.columns]
-    if rows_distinct:
-        counted = trips.withColumn("__copies", F.lit(1).cast("bigint"))
-    else:
-        counted = trips.groupBy(*names).agg(F.count(F.lit(1)).alias("__copies"))
-    longitude, latitude = F.col(f"{end}_longitude"), F.col(f"{end}_latitude")
-    looked_up = counted.withColumn(
-        "__level", F.explode(F.array(*[F.lit(level) for level in levels]))
-    ).withColumn("__cell", point_cell(longitude, latitude, F.col("__level")))
-    cells = box_cells(leveled).select(
-        "__level",
-        "__cell",
-        F.struct("zone_id", "zone_name").alias("__box_zone"),
-        *[
-            F.col(f"{side}_{axis}").alias(f"__{side}_{axis}")
-            for side in ("min", "max")
-            for axis in ("longitude", "latitude")
-        ],
-    )
-    joined = looked_up.alias("t").join(
-        cells.alias("c"),
-        (F.col("t.__level") == F.col("c.__level"))
-        & (F.col("t.__cell") == F.col("c.__cell"))
-        & contains(lambda bound: F.col(f"c.__{bound}"), longitude, latitude),
-        "left",
-    )
-    lowest = joined.groupBy(*names, "__copies").agg(F.min("__box_zone").alias("__zone"))
-    if rows_distinct:
-        return lowest
-    copies = F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))
-    return lowest.withColumn("__copy", F.explode(copies))
+def _check_unmatched(unmatched: str) -> None:
+    if unmatched not in ("drop", "keep"):
+        raise ValueError(f"unmatched must be 'drop' or 'keep', not {unmatched!r}")
 
 
 def coordinate_bounds(trips: DataFrame) -> DataFrame:
@@ -252,40 +169,95 @@ def coordinate_bounds(trips: DataFrame) -> DataFrame:
     return trips.agg(
         *[
             f(known(axis)).alias(f"{label}_{axis}")
-            for axis in ("longitude", "latitude")
+            for axis in AXES
             for label, f in (("min", F.min), ("max", F.max))
         ]
     )
 
 
-def grid_zones(
+@dataclass(frozen=True)
+class Grid:
+    """A square grid: ``side`` zones along each axis of the one row of ``bounds``."""
+
+    bounds: DataFrame
+    side: int
+
+
+def trip_grid(
     trips: DataFrame, num_zones: int = DEFAULT_GRID_ZONES, default: Bounds = DEFAULT_BOUNDS
-) -> DataFrame:
-    """Cut the pickup area into a square grid of at most ``num_zones`` zones.
+) -> Grid:
+    """The grid over the trips' pickups; bounds the data cannot give are taken from ``default``.
 
-    Zones are numbered from 1 along the longitude, then the latitude. Bounds
-    the data cannot give are taken from ``default``. The four bounds are read
-    once, in one aggregation, so that using the zones does not repeat it.
+    The bounds are a lazy aggregate: nothing runs before the grid is used.
     """
     side = isqrt(num_zones)
     if side < 1:
         raise ValueError("num_zones must be at least 1")
-    bounds = dict(vars(default))
     if {"pickup_longitude", "pickup_latitude"} <= set(trips.columns):
-        known = coordinate_bounds(trips).first().asDict()
-        bounds.update({name: value for name, value in known.items() if value is not None})
+        bounds = coordinate_bounds(trips)
+        bounds = bounds.select(*[F.coalesce(name, F.lit(value)).alias(name) for name, value in vars(default).items()])
+    else:
+        bounds = trips.sparkSession.range(1).select(*[F.lit(v).alias(n) for n, v in vars(default).items()])
+    return Grid(bounds, side)
+
+
+def _edge(bound, axis: str, step: Column, side: int) -> Column:
+    low, high = bound(f"min_{axis}"), bound(f"max_{axis}")
+    return low + step * ((high - low) / F.lit(float(side)))
 
-    def edge(axis: str, step: Column) -> Column:
-        low, high = bounds[f"min_{axis}"], bounds[f"max_{axis}"]
-        return F.lit(low) + step * F.lit((high - low) / side)
 
-    index = F.col("id").cast("int")
+def _zone_name(zone_id: Column) -> Column:
+    return F.concat(F.lit("Zone_"), zone_id.cast("string"))
+
+
+def zones_of_grid(grid: Grid) -> DataFrame:
+    """The grid's zones as boxes, numbered from 1 along the longitude, then the latitude."""
+    side = grid.side
+    numbered = grid.bounds.withColumn("__index", F.explode(F.sequence(F.lit(0), F.lit(side * side - 1))))
+    index = F.col("__index")
     row, place = F.floor(index / side).cast("int"), index % side
-    return trips.sparkSession.range(side * side).select(
+    return numbered.select(
         (index + 1).alias("zone_id"),
-        F.concat(F.lit("Zone_"), (index + 1).cast("string")).alias("zone_name"),
-        edge("longitude", place).alias("min_longitude"),
-        edge("longitude", place + 1).alias("max_longitude"),
-        edge("latitude", row).alias("min_latitude"),
-        edge("latitude", row + 1).alias("max_latitude"),
+        _zone_name(index + 1).alias("zone_name"),
+        _edge(F.col, "longitude", place, side).alias("min_longitude"),
+        _edge(F.col, "longitude", place + 1, side).alias("max_longitude"),
+        _edge(F.col, "latitude", row, side).alias("min_latitude"),
+        _edge(F.col, "latitude", row + 1, side).alias("max_latitude"),
+    )
+
+
+def grid_zones(
+    trips: DataFrame, num_zones: int = DEFAULT_GRID_ZONES, default: Bounds = DEFAULT_BOUNDS
+) -> DataFrame:
+    """Cut the pickup area into a square grid of at most ``num_zones`` zones, as boxes."""
+    return zones_of_grid(trip_grid(trips, num_zones, default))
+
+
+def attach_grid(trips: DataFrame, grid: Grid, end: str, *, unmatched: str = "drop") -> DataFrame:
+    """`attach_boxes` with the grid's zones, by arithmetic on the point: no join, no shuffle.
+
+    Along each axis the point's zone and both neighbours are compared with their edges,
+    so a point on an edge goes to the lower zone whatever the rounding.
+    """
+    _check_unmatched(unmatched)
+    bounds = grid.bounds.select(F.struct(*vars(DEFAULT_BOUNDS)).alias("bounds")).scalar()
+
+    def place(axis: str) -> Column:
+        value, low = F.col(f"{end}_{axis}"), bounds.getField(f"min_{axis}")
+        step = (bounds.getField(f"max_{axis}") - low) / F.lit(float(grid.side))
+        guess = F.floor(F.least(F.greatest(F.try_divide(value - low, step), F.lit(0.0)), F.lit(grid.side - 1.0)))
+        guess = F.coalesce(guess, F.lit(0)).cast("int")
+
+        def fits(k: Column) -> Column:
+            inside = (value >= _edge(bounds.getField, axis, k, grid.side)) & (
+                value <= _edge(bounds.getField, axis, k + 1, grid.side)
+            )
+            return F.when(k.between(0, grid.side - 1) & inside, k)
+
+        return F.coalesce(*[fits(guess + shift) for shift in (-1, 0, 1)])
+
+    zone = (place("latitude") * grid.side + place("longitude") + 1).cast("int")
+    attached = trips.withColumn(f"{end}_zone_id", zone).withColumn(
+        f"{end}_zone_name", _zone_name(F.col(f"{end}_zone_id"))
     )
+    return attached if unmatched == "keep" else attached.where(F.col(f"{end}_zone_id").isNotNull())

@@ -72,12 +72,18 @@ def first_per_key(trips: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The choice is the same in every run and for every partitioning. ``min`` of a
     struct aggregates before the shuffle, so however many rows share a key, each
-    map task sends one of them.
+    map task sends one of them. Columns without an order (maps) are carried along; of
+    rows that differ in nothing else, any may survive.
     """
     rest = survivor_order(trips.columns, keys)
     if not rest:
         return trips.distinct()
-    lowest = F.min(F.struct(*[column(c) for c in rest])).alias("__lowest")
+    ranked = [c for c in rest if "map<" not in trips.schema[c].dataType.simpleString()]
+    order = F.struct(*[column(c) for c in ranked])
+    if ranked == rest:
+        lowest = F.min(order).alias("__lowest")
+    else:
+        lowest = F.min_by(F.struct(*[column(c) for c in rest]), order).alias("__lowest")
     kept = trips.groupBy(*[column(c) for c in keys]).agg(lowest)
     return kept.select(
         [

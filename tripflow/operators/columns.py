@@ -29,12 +29,15 @@ def conform_types(trips: DataFrame) -> DataFrame:
     """Cast canonical columns to their canonical type; unreadable text is NULL.
 
     Columns that already have the type are left alone, so that filters on them
-    still reach the Parquet scan.
+    still reach the Parquet scan. A trip id is cast only between whole-number types: ids
+    of any other type, text above all, stay as they are.
     """
 
     def conformed(field: T.StructField):
         wanted = CANONICAL_TYPES.get(field.name)
         value = column(field.name)
+        if field.name == "trip_id" and not isinstance(field.dataType, T.IntegralType):
+            return value
         if wanted is None or field.dataType.simpleString() == wanted:
             return value
         return value.try_cast(wanted).alias(field.name)

@@ -15,10 +15,13 @@ def attach_lookup(trips: DataFrame, lookup: DataFrame, end: str) -> DataFrame:
     Trips with an unknown id keep their id as zone id and get NULL names. No
     broadcast is forced: Spark broadcasts the lookup while its measured size is
     under the broadcast threshold and otherwise sorts and merges, where adaptive
-    execution splits an overloaded location id.
+    execution splits an overloaded location id. Of lookup rows with one id only the
+    lowest counts, NULLs lowest, so that no trip is multiplied.
     """
     key = f"{end}_location_id"
-    side = lookup.select(
+    names = F.min(F.struct(*LOOKUP_FIELDS)).alias("__names")
+    unique = lookup.groupBy("location_id").agg(names).select("location_id", "__names.*")
+    side = unique.select(
         F.col("location_id").alias(key),
         *[F.col(c).alias(f"{end}_{label}") for c, label in LOOKUP_FIELDS.items()],
     )

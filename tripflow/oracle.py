@@ -22,7 +22,7 @@ EVENT_COLUMNS = {
     "dropoff_latitude": "dropoff_latitude",
     "passenger_count": "passenger_count",
 }
-VOLUME_COLUMNS = dict(list(EVENT_COLUMNS.items())[:8])
+VOLUME_COLUMNS = dict(list(EVENT_COLUMNS.items())[:10])
 
 RAW_EVENTS = """
 copies as (
@@ -78,7 +78,9 @@ raw as (
          l_extendedprice / cast(100 as double) as fare_amount,
          cast((l_orderkey + l_linenumber) % 8 as int) as payment_type,
          s_nationkey as "PULocationID",
-         c_nationkey as "DOLocationID"
+         c_nationkey as "DOLocationID",
+         cast(-74.25 as double) + cast((l_orderkey * 31 + l_linenumber * 7) % 500 as double) / cast(1000 as double) as pickup_longitude,
+         cast(40.5 as double) + cast((l_orderkey * 17 + l_linenumber * 3) % 450 as double) / cast(1000 as double) as pickup_latitude
   from lines
 )"""
 
@@ -332,9 +334,9 @@ def _matched(end: str, source: str, target: str, join: str) -> str:
 )"""
 
 
-def _zone_of(boxes: str, end: str, join: str = "inner") -> str:
+def _zone_of(boxes: str, end: str, join: str = "inner", trips: str | None = None) -> str:
     return (
-        EVENTS.rstrip()
+        (trips or EVENTS).rstrip()
         + f",\n{boxes},\n{_matched(end, 'curated', 'matched', join)}\n"
         + f"select trip_id, {end}_longitude, {end}_latitude, {end}_zone_id, {end}_zone_name from matched"
     )
@@ -480,6 +482,11 @@ from curated c left join lookup l on c.{end}_location_id = l.location_id"""
         "dedupe_trips": events("select * from cleaned"),
         "clean_trips": events("select * from cleaned"),
         "dedupe_by_trip_id": events(_ranked("standard", ["trip_id"], BY_TRIP_ID)),
+        "dedupe_by_text_id": events(
+            "select coalesce('t-' || cast(trip_id as varchar), null) as trip_id, * exclude (trip_id) from ("
+            + _ranked("standard", ["trip_id"], BY_TRIP_ID)
+            + ")"
+        ),
         "parse_timestamps": EVENTS.rstrip()
         + f",\n{TEXT_TIMES}\n"
         + """select trip_id,
@@ -547,6 +554,9 @@ from curated"""
         "round(max_longitude, 9) as max_longitude, round(min_latitude, 9) as min_latitude, "
         "round(max_latitude, 9) as max_latitude from boxes",
         "enriched_by_grid": _zone_of(GRID, "pickup", "left"),
+        "enriched_by_box_volume": _zone_of(CUSTOMER_BOXES, "pickup", "left", VOLUME),
+        "enriched_by_grid_volume": _zone_of(GRID, "pickup", "left", VOLUME),
+        "total_amount_fare": events("select trip_id, fare_amount from standard"),
         "zone_coverage": events(
             """select count(*) as total_trips, count(pickup_zone_name) as with_pickup_zone,
   count(dropoff_zone_name) as with_dropoff_zone from enriched"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripflow.constants import (
     DEFAULT_GRID_ZONES,
@@ -19,13 +19,14 @@ from tripflow.constants import (
 from tripflow.functions import weekend_label
 from tripflow.operators import demand
 from tripflow.operators.activity import END_LABELS, combine_ends, top_zones, zone_columns
-from tripflow.operators.boxes import grid_zones
-from tripflow.operators.enrich import enrich_trips
+from tripflow.operators.boxes import trip_grid
+from tripflow.operators.enrich import ENDS, enrich_trips
 from tripflow.operators.quality import data_quality_rate, dataset_overview, null_profile, quality_funnel
 from tripflow.operators.revenue import order_revenue
 from tripflow.operators.rollup import rollup_by
 from tripflow.plans.preprocess import ANALYSIS_COLUMNS, curate_trips, standard_trips
-from tripflow.sinks import TableStore, export, save_results
+from tripflow.plans.summary import summary_of_tables
+from tripflow.sinks import FORMATS, TableStore, export, save_results
 from tripflow.sources import ZoneSource, scan_trips, zone_files
 
 GROUPINGS = {
@@ -38,14 +39,16 @@ GROUPINGS = {
     "all": [],
 }
 
+ZONE_GROUPINGS = ("origin", "destination", "zone_name")
+
 # With a lookup, coordinates are not used and need not be shuffled.
 ID_COLUMNS = ("payment_type", "pickup_location_id", "dropoff_location_id")
 
 
-def report_groups(enriched: DataFrame) -> DataFrame:
+def report_groups(enriched: DataFrame, *more: Column) -> DataFrame:
     """Every grouping the report needs, with all measures: a few rows per zone.
 
-    Groupings whose columns are absent are left out.
+    Groupings whose columns are absent are left out. ``more`` are further measures.
     """
     present = set(enriched.columns)
     groupings = {name: keys for name, keys in GROUPINGS.items() if present.issuperset(keys)}
@@ -57,15 +60,27 @@ def report_groups(enriched: DataFrame) -> DataFrame:
         F.count("fare_amount").alias("priced_trips"),
         F.avg("fare_amount").alias("avg_fare_amount"),
         *demand.span_measures(),
+        *more,
     )
 
 
-def report_tables(groups: DataFrame) -> dict[str, DataFrame]:
-    """All result tables from the output of ``report_groups``."""
+def coverage_measures() -> list[Column]:
+    return [F.count(f"{end}_zone_name").alias(f"with_{end}_zone") for end in ENDS]
+
+
+def report_tables(
+    groups: DataFrame, zone_groups: DataFrame | None = None, top_ends: int = TOP_ENDS, top_activity: int = TOP_ACTIVITY
+) -> dict[str, DataFrame]:
+    """All result tables from the output of ``report_groups``.
+
+    ``zone_groups``, if given, are the groups that the tables about zones are made from.
+    """
+    zone_groups = groups if zone_groups is None else zone_groups
     present = set(groups.columns)
 
     def part(name: str) -> DataFrame:
-        return groups.where(F.col("grouping") == name)
+        source = zone_groups if name in ZONE_GROUPINGS else groups
+        return source.where(F.col("grouping") == name)
 
     def has(*names: str) -> bool:
         return all(present.issuperset(GROUPINGS[name]) for name in names)
@@ -95,13 +110,13 @@ def report_tables(groups: DataFrame) -> dict[str, DataFrame]:
                 F.col("avg_fare_amount").alias(f"avg_fare_{label}"),
             )
             tables[f"top_{label}_zones"] = top_zones(
-                stats, f"total_trips_{label}", zone_columns(end), TOP_ENDS
+                stats, f"total_trips_{label}", zone_columns(end), top_ends
             )
     if has("origin", "destination"):
-        ends = groups.where(F.col("grouping").isin(*END_LABELS.values()))
+        ends = zone_groups.where(F.col("grouping").isin(*END_LABELS.values()))
         zones = combine_ends(ends)
         order = ["zone_id", "zone_name"]
-        tables["zones_activity"] = top_zones(zones, "total_activity", order, TOP_ACTIVITY)
+        tables["zones_activity"] = top_zones(zones, "total_activity", order, top_activity)
         tables["revenue_by_zone"] = zones.orderBy(F.desc_nulls_last("total_revenue"), *order)
     if has("zone_name"):
         tables["duration_by_zone"] = (
@@ -118,6 +133,17 @@ def report_tables(groups: DataFrame) -> dict[str, DataFrame]:
         tables["revenue_analysis"] = order_revenue(
             part("payment").withColumnRenamed("avg_fare_amount", "avg_revenue_per_trip")
         )
+        tables["payment_distribution"] = (
+            part("payment")
+            .select("payment_type", F.col("total_trips").alias("count"))
+            .orderBy(F.desc("count"), F.asc_nulls_first("payment_type"))
+        )
+    if has("hour"):
+        tables["hour_extremes"] = demand.hour_extremes(tables["trips_by_hour"])
+    if has("day"):
+        tables["quietest_day"] = demand.quietest_day(tables["trips_by_day"])
+    if present.issuperset(f"with_{end}_zone" for end in ENDS):
+        tables["zone_coverage"] = part("all").select("total_trips", *[f"with_{end}_zone" for end in ENDS])
     tables["totals"] = part("all").select("total_trips", "total_revenue", "avg_fare_amount")
     return tables
 
@@ -132,6 +158,10 @@ SMALL_RESULTS = frozenset(
         "top_origin_zones",
         "top_destination_zones",
         "zones_activity",
+        "hour_extremes",
+        "quietest_day",
+        "zone_coverage",
+        "summary",
         "totals",
     }
 )
@@ -159,6 +189,9 @@ def run_report(
     format: str = "csv",
     limits: Limits = LIMITS,
     null_duration: str = "drop",
+    unmatched: str = "keep",
+    top_ends: int = TOP_ENDS,
+    top_activity: int = TOP_ACTIVITY,
     profile: bool = True,
 ) -> Report:
     """Scan, curate, enrich, analyse, export and store.
@@ -167,9 +200,19 @@ def run_report(
     aggregation, which is written below ``out`` and is all the result tables
     read. ``profile`` adds the data-quality tables, which read the raw trips
     again. ``curated_path`` also writes the curated trips and continues from
-    the written table. ``out``, ``curated_path`` and the store must be on
-    storage that all executors share.
+    the written table; where zones come from coordinates, the curated trips are always
+    written, if need be below ``out``, so that they are made once.
+
+    Tables that need no zone count all curated trips. ``unmatched='keep'`` gives trips
+    without a zone a NULL zone in the others; ``'drop'`` leaves trips out of these that
+    have no zone at either end. ``out``, ``curated_path`` and the store must be
+    on storage that all executors share. Arguments are checked before anything runs.
     """
+    if format.lower() not in FORMATS:
+        raise ValueError(f"unsupported format: {format}")
+    for name, value, allowed in (("unmatched", unmatched, ("keep", "drop")), ("null_duration", null_duration, ("keep", "drop"))):
+        if value not in allowed:
+            raise ValueError(f"{name} must be one of {allowed}, not {value!r}")
     raw = scan_trips(spark, trips_path)
     tables: dict[str, DataFrame] = {}
     if profile:
@@ -183,11 +226,19 @@ def run_report(
     by_id = zones is not None and zones.kind == "lookup" and not curated_path
     columns = ID_COLUMNS if by_id else ANALYSIS_COLUMNS
     curated = curate_trips(raw, limits, null_duration, columns=columns)
-    if curated_path:
-        curated = _staged(curated, curated_path)
-    zones = zones or ZoneSource("grid", boxes=grid_zones(curated, num_zones))
-    enriched = enrich_trips(curated, zones, rows_distinct=True)
-    tables.update(report_tables(_staged(report_groups(enriched), f"{out}/staged/groups")))
+    if curated_path or not by_id:
+        curated = _staged(curated, curated_path or f"{out}/staged/curated")
+    zones = zones or ZoneSource("grid", grid=trip_grid(curated, num_zones))
+    # Location ids that a lookup does not know keep their trips either way.
+    options = {} if zones.kind == "lookup" else {"unmatched": "keep"}
+    enriched = enrich_trips(curated, zones, **options)
+    groups = _staged(report_groups(enriched, *coverage_measures()), f"{out}/staged/groups")
+    zone_groups = None
+    if unmatched == "drop" and zones.kind != "lookup":
+        known = [F.col(f"{end}_zone_id").isNotNull() for end in ENDS]
+        zone_groups = _staged(report_groups(enriched.where(known[0] & known[1])), f"{out}/staged/zone_groups")
+    tables.update(report_tables(groups, zone_groups, top_ends, top_activity))
+    tables["summary"] = summary_of_tables(tables)
 
     exports = {}
     for name, table in tables.items():

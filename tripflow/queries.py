@@ -99,6 +99,7 @@ _by_hour = _over(_fares, demand.demand_by_hour)
 _by_day = _over(_fares, demand.demand_by_day)
 _by_payment = _over(_payments, revenue.revenue_by_payment)
 
+_volume_points = _curated_with(adapters.trips_volume, "trip_id", "pickup_longitude", "pickup_latitude")
 _volume_fares = _curated_with(adapters.trips_volume)
 _volume_payments = _curated_with(adapters.trips_volume, "payment_type")
 _volume_zoned = _enriched_with(
@@ -168,14 +169,32 @@ def pickup_point_many(spark: SparkSession, sf: str) -> DataFrame:
 
 def pickup_point_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     zones = adapters.many_boxes(spark, sf)
-    return _zone_of(
-        _curated(spark, sf), zones, "pickup", max_cells=0, rows_distinct=True
-    )
+    return _zone_of(_curated(spark, sf), zones, "pickup", join="merge")
 
 
 def enriched_by_box(spark: SparkSession, sf: str) -> DataFrame:
     source = ZoneSource("boxes", boxes=adapters.zone_boxes(spark, sf))
-    return enrich.enrich_trips(_curated(spark, sf), source, rows_distinct=True)
+    return enrich.enrich_trips(_curated(spark, sf), source)
+
+
+def by_box_volume(spark: SparkSession, sf: str) -> DataFrame:
+    trips = _volume_points(spark, sf)
+    return _zone_of(trips, adapters.many_boxes(spark, sf), "pickup", unmatched="keep")
+
+
+def by_grid_volume(spark: SparkSession, sf: str) -> DataFrame:
+    trips = _volume_points(spark, sf)
+    return _on_grid(trips)
+
+
+def dedupe_text_ids(spark: SparkSession, sf: str) -> DataFrame:
+    named = _raw(spark, sf).withColumn("trip_id", F.concat(F.lit("t-"), F.col("trip_id").cast("string")))
+    trips = preprocess.standard_trips(named)
+    return cleaning.dedupe_trips(trips.drop("dropoff_datetime", "trip_distance_km", "fare_amount"))
+
+
+def raw_without_fare(spark: SparkSession, sf: str) -> DataFrame:
+    return columns.standardize_columns(adapters.trips_total_amount(spark, sf)).select("trip_id", "fare_amount")
 
 
 def zones_of_grid(spark: SparkSession, sf: str) -> DataFrame:
@@ -185,8 +204,13 @@ def zones_of_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enriched_by_grid(spark: SparkSession, sf: str) -> DataFrame:
-    trips = _curated(spark, sf)
-    return _zone_of(trips, boxes.grid_zones(trips), "pickup", unmatched="keep")
+    return _on_grid(_curated(spark, sf))
+
+
+def _on_grid(trips: DataFrame) -> DataFrame:
+    return boxes.attach_grid(trips, boxes.trip_grid(trips), "pickup", unmatched="keep").select(
+        "trip_id", "pickup_longitude", "pickup_latitude", "pickup_zone_id", "pickup_zone_name"
+    )
 
 
 def _funnel(table: Query) -> Query:
@@ -206,6 +230,8 @@ QUERIES: dict[str, Query] = {
     "drop_nan_keys": _over(_standard, cleaning.drop_nan_keys),
     "dedupe_trips": _over(_clean_keys, cleaning.dedupe_trips),
     "dedupe_by_trip_id": _over(_trip_ids_only, cleaning.dedupe_trips),
+    "dedupe_by_text_id": dedupe_text_ids,
+    "total_amount_fare": raw_without_fare,
     "clean_trips": _over(_standard, cleaning.clean_trips),
     # derived columns
     "parse_timestamps": parse_text_times,
@@ -289,6 +315,8 @@ QUERIES: dict[str, Query] = {
     # the same jobs on the largest table
     "curated_trips_volume": _over(adapters.trips_volume, preprocess.curate_trips),
     "quality_funnel_volume": _funnel(adapters.trips_volume),
+    "enriched_by_box_volume": by_box_volume,
+    "enriched_by_grid_volume": by_grid_volume,
     "demand_by_hour_volume": _over(_volume_fares, demand.demand_by_hour, rounded),
     "demand_by_day_volume": _over(_volume_fares, demand.demand_by_day, rounded),
     "zone_activity_volume": _over(_volume_zoned, activity.zone_activity, rounded),

@@ -1,6 +1,6 @@
 """Writers of result tables. All of them write from the executors."""
 
-from tripflow.sinks.files import export
+from tripflow.sinks.files import FORMATS, export
 from tripflow.sinks.tables import TableStore, save_results, save_table
 
-__all__ = ["TableStore", "export", "save_results", "save_table"]
+__all__ = ["FORMATS", "TableStore", "export", "save_results", "save_table"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+FORMATS = ("csv", "json")
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 

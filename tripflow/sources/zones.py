@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+if TYPE_CHECKING:
+    from tripflow.operators.boxes import Grid
+
 BOUND_COLUMNS = ("min_longitude", "max_longitude", "min_latitude", "max_latitude")
 
 
@@ -33,13 +37,15 @@ def read_zone_boxes(spark: SparkSession, path: str) -> DataFrame:
 class ZoneSource:
     """What zones are attached from.
 
-    ``lookup`` names location ids, ``boxes`` contain coordinates. Either may be
-    missing: location ids then name themselves, coordinates stay unused.
+    ``lookup`` names location ids, ``boxes`` or the zones of ``grid`` contain
+    coordinates. Any may be missing: location ids then name themselves,
+    coordinates stay unused.
     """
 
     kind: str
     lookup: DataFrame | None = None
     boxes: DataFrame | None = None
+    grid: Grid | None = None
 
 
 def zone_files(

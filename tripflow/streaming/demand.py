@@ -1,13 +1,14 @@
 """Demand per clock hour over a trip stream.
 
-Event time is the pickup time read in the session zone, which must be UTC.
+Event time is the pickup's wall-clock time taken as UTC, whatever the session zone.
 Zones attach to a stream with ``operators.lookup.attach_lookup`` unchanged: the
 lookup is the static side of the join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from tripflow.constants import TIME_COLUMNS
 from tripflow.operators.demand import demand_measures
@@ -16,15 +17,29 @@ LATENESS = "2 hours"
 HOUR = "1 hour"
 
 
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def as_instant(wall_clock: Column) -> Column:
+    """The instant at which a UTC clock shows a wall-clock time; no session zone is read."""
+    seconds = (wall_clock - F.expr(EPOCH)).cast("interval second").cast("decimal(20,6)")
+    return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
+
+
+def as_wall_clock(instant: Column) -> Column:
+    """What a UTC clock shows at an instant on a whole second."""
+    return F.expr(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(instant).cast("decimal(18,6)"))
+
+
 def with_event_time(trips: DataFrame) -> DataFrame:
-    return trips.withColumn("pickup_ts", F.col("pickup_datetime").cast("timestamp"))
+    return trips.withColumn("pickup_ts", as_instant(F.col("pickup_datetime")))
 
 
-def _by_clock_hour(timed: DataFrame) -> DataFrame:
-    hours = timed.groupBy(F.window("pickup_ts", HOUR).alias("w")).agg(*demand_measures())
+def _by_clock_hour(timed: DataFrame, *more: Column) -> DataFrame:
+    hours = timed.groupBy(F.window("pickup_ts", HOUR).alias("w")).agg(*demand_measures(), *more)
     return hours.select(
-        F.col("w.start").cast("timestamp_ntz").alias("hour_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("hour_end"),
+        as_wall_clock(F.col("w.start")).alias("hour_start"),
+        as_wall_clock(F.col("w.end")).alias("hour_end"),
         *[c for c in hours.columns if c != "w"],
     )
 
@@ -36,10 +51,14 @@ def hourly_demand_stream(trips: DataFrame, lateness: str = LATENESS) -> DataFram
 
 
 def closed_hours(trips: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Batch form: the hours a stream over the same trips has closed."""
-    latest = trips.agg(F.max("pickup_datetime")).scalar()
-    closing = latest - F.expr(f"interval {lateness}")
-    return _by_clock_hour(with_event_time(trips)).where(F.col("hour_end") <= closing)
+    """Batch form: the hours a stream over the same trips has closed.
+
+    The latest pickup is found over the hours, in the same pass.
+    """
+    hours = _by_clock_hour(with_event_time(trips), F.max("pickup_datetime").alias("__latest"))
+    latest = F.max("__latest").over(Window.partitionBy(F.lit(0)))
+    closed = hours.withColumn("__closing", latest - F.expr(f"interval {lateness}"))
+    return closed.where(F.col("hour_end") <= F.col("__closing")).drop("__latest", "__closing")
 
 
 def dedupe_stream(trips: DataFrame, lateness: str = LATENESS) -> DataFrame:
