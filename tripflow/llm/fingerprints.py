@@ -60,6 +60,11 @@ def paragraph_digests(text: str, piece_chars: int = PIECE_CHARS, known: dict | N
 def _places(items: np.ndarray, cells: int) -> np.ndarray:
     """The three cells of every item, one in each third of the table."""
     third = cells // 3
+    if third <= 1 << 21:
+        # Three 21-bit parts of one hash, each scaled to the third.
+        hashed = mix(items + U64(cells))
+        parts = [((hashed >> U64(21 * k)) & U64((1 << 21) - 1)) * U64(third) >> U64(21) for k in range(3)]
+        return np.concatenate([part.astype(np.int64) + k * third for k, part in enumerate(parts)])
     salted = [mix(items + U64(cells * 8 + k)) % U64(third) + U64(k * third) for k in range(3)]
     return np.concatenate(salted).astype(np.int64)
 
@@ -81,10 +86,12 @@ def peel(difference: np.ndarray) -> tuple[int, int] | None:
     left = right = 0
     minus = U64(2**64 - 1)
     while True:
-        sign = np.where(table[0] == 1, U64(1), np.where(table[0] == minus, minus, U64(0)))
-        items = table[1] * sign
-        pure = np.flatnonzero((sign != 0) & (mix(items ^ _CHECK) == table[2] * sign))
-        if not len(pure):
+        # Counts of 1 and -1 are their own signs.
+        single = np.flatnonzero((table[0] == 1) | (table[0] == minus))
+        sign = table[0][single]
+        items = table[1][single] * sign
+        pure = mix(items ^ _CHECK) == table[2][single] * sign
+        if not pure.any():
             return None if table.any() else (left, right)
         found, first = np.unique(items[pure], return_index=True)
         signs = sign[pure][first]
@@ -117,14 +124,21 @@ class Sketch:
 def likeness(a: Sketch, b: Sketch, cells: int = CELLS) -> float:
     """The share of both texts' digests that is common, from the peeled difference; 1 for two empty texts."""
     while True:
-        # More differing digests than cells cannot be peeled: go on to the next size.
-        if abs(len(a.items) - len(b.items)) <= cells:
-            found = peel(a.table(cells) - b.table(cells))
+        # More differing digests than cells cannot be peeled.
+        differ = abs(len(a.items) - len(b.items))
+        if differ <= cells:
+            difference = a.table(cells) - b.table(cells)
+            # Each differing digest adds one to the squares of three counts, on average.
+            counts = difference[0].astype(np.int64)
+            differ = max(differ, int((counts * counts).sum()) // 3)
+            found = peel(difference) if differ <= 2 * cells else None
             if found is not None:
                 only_a, only_b = found
                 both = len(a.items) + len(b.items)
                 return 1.0 if both == 0 else (both - only_a - only_b) / both
         cells *= GROWTH
+        while cells < differ:
+            cells *= GROWTH
 
 
 def _fingerprint(batches: Iterator[pa.RecordBatch], cells: int, piece_chars: int) -> Iterator[pa.RecordBatch]:
