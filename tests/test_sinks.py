@@ -91,3 +91,25 @@ def test_scan(spark, table, tmp_path):
     empty.mkdir()
     with pytest.raises(FileNotFoundError):
         scan_trips(spark, str(empty))
+
+
+def test_scan_of_files_that_differ(spark, tmp_path):
+    """Integers in one file and doubles in another, and a column that only some files have."""
+    months = ["1L as trip_id, 2 as passenger_count", "2L as trip_id, 3.0D as passenger_count, 7.5D as total_amount"]
+    for k, month in enumerate([*months, months[0], "3L as trip_id, cast(null as double) as passenger_count"]):
+        spark.range(1).selectExpr(*month.split(", ")).coalesce(1).write.parquet(str(tmp_path / f"m{k}"))
+        (part,) = (tmp_path / f"m{k}").glob("*.parquet")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        (tmp_path / "all" / f"m{k}.parquet").write_bytes(part.read_bytes())
+    got = scan_trips(spark, str(tmp_path / "all"))
+    assert dict(got.dtypes) == {"trip_id": "bigint", "passenger_count": "int", "fare_amount": "double"}
+    assert bag(got.select("trip_id", "passenger_count", "fare_amount")) == sorted(
+        [(None, 2, 1), (7.5, 3, 2), (None, 2, 1), (None, None, 3)], key=repr
+    )
+
+
+def test_scan_has_the_columns_of_all_files(spark, tmp_path):
+    folder = str(tmp_path / "trips")
+    spark.sql("select 1L as trip_id").write.parquet(folder)
+    spark.sql("select 2L as trip_id, 'x' as note").write.mode("append").parquet(folder)
+    assert bag(scan_trips(spark, folder)) == sorted([(None, 1), ("x", 2)], key=repr)

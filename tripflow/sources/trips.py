@@ -2,21 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.operators.columns import conform_types, standardize_columns
+
 NO_SUCH_INPUT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+TYPES_DIFFER = "CANNOT_MERGE_SCHEMAS"
+# Spark hands this condition over as a plain Java error.
+UNMERGED = (PySparkException, Py4JJavaError)
 
 
 def scan_trips(spark: SparkSession, path: str) -> DataFrame:
     """Scan all ``*.parquet`` files directly under ``path`` as one table.
 
-    ``path`` may be on any file system Spark can read. A missing directory or
+    The table has every column that any file has, NULL for the rows of files without it.
+    Files that give one column different types are read in groups of like
+    files, which are brought to canonical names and types and then put
+    together. ``path`` may be on any file system Spark can read. A missing directory or
     one without Parquet files is a ``FileNotFoundError``.
     """
     try:
-        return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+        return _merged(spark, [path])
     except AnalysisException as error:
         if error.getCondition() in NO_SUCH_INPUT:
             raise FileNotFoundError(f"no trip files in {path}") from error
         raise
+    except UNMERGED as error:
+        if not _types_differ(error):
+            raise
+    files = spark.read.option("pathGlobFilter", "*.parquet").format("binaryFile").load(path).inputFiles()
+    groups = [standardize_columns(part).transform(conform_types) for part in _like(spark, sorted(files))]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), groups)
+
+
+def _merged(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", "true").parquet(*paths)
+
+
+def _types_differ(error: Exception) -> bool:
+    return TYPES_DIFFER in str(error)
+
+
+def _like(spark: SparkSession, files: list[str]) -> list[DataFrame]:
+    """Tables of neighbouring files whose columns agree: halves are tried until they do."""
+    try:
+        return [_merged(spark, files)]
+    except UNMERGED as error:
+        if len(files) == 1 or not _types_differ(error):
+            raise
+    half = len(files) // 2
+    return _like(spark, files[:half]) + _like(spark, files[half:])
