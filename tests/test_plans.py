@@ -6,19 +6,19 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from helpers import plan
 from tripflow import adapters
 from tripflow.operators import demand
 from tripflow.plans.preprocess import curate_trips
 from tripflow.plans.report import report_groups
+from tripflow.queries import all_queries
 
 PYTHON = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas")
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_no_cross_join_and_no_python(spark, small, name):
-    text = plan(queries()[name](spark, small))
+    text = plan(all_queries()[name](spark, small))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert not PYTHON.search(text)
@@ -56,12 +56,12 @@ def test_curation_shuffles_once_and_filters_duration_before(spark, trip_file):
 
 def test_activity_reads_the_trips_once(spark, small):
     for name in ("zone_activity", "summary", "report_groups"):
-        text = plan(queries()[name](spark, small))
+        text = plan(all_queries()[name](spark, small))
         assert text.count("events.parquet") == 1, name
 
 
 def test_lookup_is_broadcast(spark, small):
-    text = plan(queries()["enriched_trips"](spark, small))
+    text = plan(all_queries()["enriched_trips"](spark, small))
     assert text.count("BroadcastHashJoin LeftOuter") >= 2 and "SortMergeJoin" not in text
 
 

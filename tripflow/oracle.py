@@ -2,7 +2,7 @@
 
 Written from the definitions, not from the operators: rows are deduplicated by
 a window, zones are found by an inequality join, and each step of the quality
-funnel is its own count. Averages are rounded as in ``queries.rounded``.
+funnel is its own count. Aggregates are rounded as in ``queries.rounded``.
 """
 
 from __future__ import annotations
@@ -183,21 +183,27 @@ EVENTS = _prelude(RAW_EVENTS, EVENT_COLUMNS)
 VOLUME = _prelude(RAW_VOLUME, VOLUME_COLUMNS)
 
 DEMAND = """count(*) as total_trips,
-  round(avg(trip_duration_min) + 1e-9, 6) as avg_duration_min,
-  round(avg(trip_distance_km) + 1e-9, 6) as avg_distance_km,
-  round(sum(fare_amount), 4) as total_revenue,
-  round(avg(fare_amount) + 1e-9, 6) as avg_fare_amount"""
+  cast(round(cast(avg(trip_duration_min) as decimal(38, 9)), 6) as double) as avg_duration_min,
+  cast(round(cast(avg(trip_distance_km) as decimal(38, 9)), 6) as double) as avg_distance_km,
+  cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue,
+  cast(round(cast(avg(fare_amount) as decimal(38, 9)), 6) as double) as avg_fare_amount"""
 
 BY_HOUR = f"select hour_of_day, {DEMAND} from curated group by hour_of_day"
 BY_DAY = f"""select day_of_week, day_name, {DEMAND},
   case when day_of_week in (1, 7) then 'Weekend' else 'Weekday' end as is_weekend
 from curated group by day_of_week, day_name"""
 
+CLOSED_HOURS = f"""select hour_start, hour_start + interval 1 hour as hour_end, * exclude (hour_start)
+from (select cast(date_trunc('hour', pickup_datetime) as timestamp) as hour_start, {DEMAND}
+      from curated group by 1)
+where hour_start + interval 1 hour
+      <= (select max(pickup_datetime) - interval 2 hour from curated)"""
+
 ENDS = """(select pickup_zone_id as zone_id, pickup_zone_name as zone_name, fare_amount from enriched
   union all
   select dropoff_zone_id, dropoff_zone_name, fare_amount from enriched)"""
 BY_ZONE = f"""select zone_id, zone_name, count(*) as total_activity,
-  round(sum(fare_amount), 4) as total_revenue, round(avg(fare_amount) + 1e-9, 6) as avg_fare
+  cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue, cast(round(cast(avg(fare_amount) as decimal(38, 9)), 6) as double) as avg_fare
 from {ENDS} group by zone_id, zone_name"""
 
 PAYMENT_NAME = """case
@@ -211,21 +217,21 @@ PAYMENT_NAME = """case
   else 'Other (' || cast(payment_type as varchar) || ')' end"""
 
 BY_PAYMENT = f"""select payment_type, {PAYMENT_NAME} as payment_type_name,
-  count(*) as total_trips, round(sum(fare_amount), 4) as total_revenue,
-  round(avg(fare_amount) + 1e-9, 6) as avg_revenue_per_trip
+  count(*) as total_trips, cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue,
+  cast(round(cast(avg(fare_amount) as decimal(38, 9)), 6) as double) as avg_revenue_per_trip
 from curated group by payment_type"""
 
 
 def _top_end(end: str, label: str) -> str:
     return f"""select {end}_zone_id, {end}_zone_name, count(*) as total_trips_{label},
-  round(sum(fare_amount), 4) as total_revenue_{label}, round(avg(fare_amount) + 1e-9, 6) as avg_fare_{label}
+  cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue_{label}, cast(round(cast(avg(fare_amount) as decimal(38, 9)), 6) as double) as avg_fare_{label}
 from enriched group by {end}_zone_id, {end}_zone_name
 order by total_trips_{label} desc, {end}_zone_id, {end}_zone_name nulls last limit 10"""
 
 
 def _spans() -> str:
     return ", ".join(
-        f"round({f}(trip_{c}){' + 1e-9, 6' if f == 'avg' else ', 4'}) as {f}_{c}"
+        f"cast(round(cast({f}(trip_{c}) as decimal(38, 9)), 6) as double) as {f}_{c}"
         for c in ("duration_min", "distance_km")
         for f in ("avg", "min", "max")
     )
@@ -345,7 +351,7 @@ def _zone_of(boxes: str, end: str, join: str = "inner", trips: str | None = None
 def _summary() -> str:
     return f"""select total_trips, peak_hour, peak_hour_trips, busiest_day, busiest_day_trips,
   most_active_zone_id, most_active_zone, most_active_zone_trips, total_revenue
-from (select count(*) as total_trips, round(sum(fare_amount), 4) as total_revenue from enriched),
+from (select count(*) as total_trips, cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue from enriched),
   (select hour_of_day as peak_hour, count(*) as peak_hour_trips from enriched
    group by hour_of_day order by 2 desc, 1 limit 1),
   (select day_name as busiest_day, count(*) as busiest_day_trips from enriched
@@ -374,8 +380,8 @@ def _report_groups() -> str:
         tail = f" group by {', '.join(keys)}" if keys else ""
         parts.append(
             f"select '{name}' as \"grouping\", {kept}, count(*) as total_trips, "
-            "round(sum(fare_amount), 4) as total_revenue, count(fare_amount) as priced_trips, "
-            f"round(avg(fare_amount) + 1e-9, 6) as avg_fare_amount, {_spans()} from enriched{tail}"
+            "cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue, count(fare_amount) as priced_trips, "
+            f"cast(round(cast(avg(fare_amount) as decimal(38, 9)), 6) as double) as avg_fare_amount, {_spans()} from enriched{tail}"
         )
     return " union all ".join(parts)
 
@@ -518,7 +524,7 @@ from texts""",
         "quality_funnel": events(_funnel()),
         "data_quality_rate": events(
             """select initial_records, cleaned_records, final_records,
-  round(final_records / cast(initial_records as double) + 1e-9, 6) as quality_rate
+  cast(round(cast(final_records / cast(initial_records as double) as decimal(38, 9)), 6) as double) as quality_rate
 from (select count(*) as initial_records from raw),
      (select count(*) as cleaned_records from cleaned),
      (select count(*) as final_records from curated)"""
@@ -565,7 +571,7 @@ from curated"""
         "demand_by_day": events(BY_DAY),
         "weekday_weekend": events(
             """select case when day_of_week in (1, 7) then 'Weekend' else 'Weekday' end as is_weekend,
-  count(*) as total_trips, round(sum(fare_amount), 4) as total_revenue from curated group by 1"""
+  count(*) as total_trips, cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue from curated group by 1"""
         ),
         "peak_hour": events(f"{BY_HOUR} order by total_trips desc, hour_of_day limit 1"),
         "busiest_day": events(f"{BY_DAY} order by total_trips desc, day_of_week limit 1"),
@@ -575,14 +581,14 @@ from curated"""
   l.hour_of_day as lowest_hour, l.total_trips as lowest_trips, avg_trips_per_hour
 from (select hour_of_day, total_trips from ({BY_HOUR}) order by 2 desc, 1 limit 1) h,
      (select hour_of_day, total_trips from ({BY_HOUR}) order by 2, 1 limit 1) l,
-     (select round(avg(total_trips) + 1e-9, 6) as avg_trips_per_hour from ({BY_HOUR}))"""
+     (select cast(round(cast(avg(total_trips) as decimal(38, 9)), 6) as double) as avg_trips_per_hour from ({BY_HOUR}))"""
         ),
         "duration_distance_by_hour": events(
             f"select hour_of_day, {_spans()} from curated group by hour_of_day"
         ),
         "duration_distance_by_zone": events(
-            """select pickup_zone_name, round(avg(trip_duration_min) + 1e-9, 6) as avg_duration_min,
-  round(avg(trip_distance_km) + 1e-9, 6) as avg_distance_km, count(*) as trip_count
+            """select pickup_zone_name, cast(round(cast(avg(trip_duration_min) as decimal(38, 9)), 6) as double) as avg_duration_min,
+  cast(round(cast(avg(trip_distance_km) as decimal(38, 9)), 6) as double) as avg_distance_km, count(*) as trip_count
 from enriched group by pickup_zone_name"""
         ),
         "top_origin_zones": events(_top_end("pickup", "origin")),
@@ -597,28 +603,23 @@ from enriched group by pickup_zone_name"""
             f"select trip_id, payment_type, {PAYMENT_NAME} as payment_type_name from curated"
         ),
         "revenue_by_payment": events(BY_PAYMENT),
-        "total_revenue": events("select round(sum(fare_amount), 4) as total_revenue from curated"),
+        "total_revenue": events("select cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue from curated"),
         "revenue_per_trip": events(
-            """select count(*) as total_trips, round(sum(fare_amount), 4) as total_revenue,
-  round(avg(fare_amount) + 1e-9, 6) as avg_revenue_per_trip from curated"""
+            """select count(*) as total_trips, cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue,
+  cast(round(cast(avg(fare_amount) as decimal(38, 9)), 6) as double) as avg_revenue_per_trip from curated"""
         ),
         "revenue_split": events(
             """select case when payment_type = 1 then 'Credit Card' when payment_type = 2 then 'Cash'
     else 'Other' end as payment_group,
-  count(*) as total_trips, round(sum(fare_amount), 4) as total_revenue,
-  round(avg(fare_amount) + 1e-9, 6) as avg_revenue_per_trip
+  count(*) as total_trips, cast(round(cast(sum(fare_amount) as decimal(38, 9)), 6) as double) as total_revenue,
+  cast(round(cast(avg(fare_amount) as decimal(38, 9)), 6) as double) as avg_revenue_per_trip
 from curated group by 1"""
         ),
         "total_trips": events("select count(*) as total_trips from enriched"),
         "summary": events(_summary()),
         "report_groups": events(_report_groups()),
-        "stream_hourly_demand": events(
-            f"""select hour_start, hour_start + interval 1 hour as hour_end, * exclude (hour_start)
-from (select cast(date_trunc('hour', pickup_datetime) as timestamp) as hour_start, {DEMAND}
-      from curated group by 1)
-where hour_start + interval 1 hour
-      <= (select max(pickup_datetime) - interval 2 hour from curated)"""
-        ),
+        "closed_hours": events(CLOSED_HOURS),
+        "stream_hourly_demand": events(CLOSED_HOURS),
         "curated_trips_volume": volume("select * from curated"),
         "quality_funnel_volume": volume(_funnel()),
         "demand_by_hour_volume": volume(BY_HOUR),

@@ -22,26 +22,25 @@ from tripflow.operators import (
 )
 from tripflow.plans import preprocess, report, summary
 from tripflow.sources import ZoneSource, scan_trips
-from tripflow.streaming import closed_hours
+from tripflow.streaming import closed_hours, drain, hourly_demand_stream, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-AVERAGE_WORDS = ("avg_", "rate")
 TIMES = ("pickup_datetime", "dropoff_datetime")
-# An average of, say, 32 two-decimal values can end exactly on half a rounding
-# step, where the last bit of the sum decides. This moves it off the half.
-OFF_HALF = 1e-9
 
 
 def rounded(result: DataFrame) -> DataFrame:
-    """Round floating aggregates: their last bits depend on summation order."""
+    """Round floating aggregates, whose last bits depend on summation order.
+
+    Nine decimal places absorb these bits; what remains is an exact decimal, so that a value
+    on half of the sixth place is rounded alike in every run.
+    """
 
     def value(field: T.StructField):
         if not isinstance(field.dataType, T.DoubleType):
             return field.name
-        if any(word in field.name for word in AVERAGE_WORDS):
-            return F.round(F.col(field.name) + OFF_HALF, 6).alias(field.name)
-        return F.round(field.name, 4).alias(field.name)
+        exact = F.col(field.name).cast("decimal(38,9)")
+        return F.round(exact, 6).cast("double").alias(field.name)
 
     return result.select([value(f) for f in result.schema.fields])
 
@@ -213,6 +212,15 @@ def _on_grid(trips: DataFrame) -> DataFrame:
     )
 
 
+def streamed_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated trips as a stream of files, with the hours that it wrote."""
+    scratch = scratch_dir(spark, "hours")
+    trips = _fares(spark, sf)
+    trips.write.parquet(f"{scratch}/trips")
+    arriving = spark.readStream.schema(trips.schema).parquet(f"{scratch}/trips")
+    return rounded(drain(hourly_demand_stream(arriving), scratch))
+
+
 def _funnel(table: Query) -> Query:
     return _over(table, preprocess.standard_trips, quality.quality_funnel)
 
@@ -310,8 +318,9 @@ QUERIES: dict[str, Query] = {
     "total_trips": _over(_zoned, summary.total_trips),
     "summary": _over(_zoned, summary.summary, rounded),
     "report_groups": _over(_zoned, report.report_groups, rounded),
-    # the batch form of the hourly stream
-    "stream_hourly_demand": _over(_fares, closed_hours, rounded),
+    # the hourly stream, run to its end, and its batch form
+    "stream_hourly_demand": streamed_hours,
+    "closed_hours": _over(_fares, closed_hours, rounded),
     # the same jobs on the largest table
     "curated_trips_volume": _over(adapters.trips_volume, preprocess.curate_trips),
     "quality_funnel_volume": _funnel(adapters.trips_volume),

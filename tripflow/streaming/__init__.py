@@ -1,5 +1,6 @@
 """Structured Streaming forms of demand, duplicate removal and zone lookup."""
 
 from tripflow.streaming.demand import closed_hours, dedupe_stream, hourly_demand_stream
+from tripflow.streaming.runs import drain, scratch_dir
 
-__all__ = ["closed_hours", "dedupe_stream", "hourly_demand_stream"]
+__all__ = ["closed_hours", "dedupe_stream", "drain", "hourly_demand_stream", "scratch_dir"]
