@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import bag, plan, rows
 from tripflow import adapters
 from tripflow.operators import cleaning, columns, quality
-from tripflow.plans.preprocess import curate_trips, standard_trips
+from tripflow.plans.preprocess import curate_trips, plausible_trips, standard_trips
 
 NAN = float("nan")
 SCHEMA = (
@@ -199,3 +199,13 @@ def test_columns_without_an_order_are_carried(spark):
 
     trips = spark.createDataFrame([(1, 5.0, {"k": "b"}), (1, 4.0, {"k": "a"})], "trip_id bigint, tip double, more map<string,string>")
     assert [tuple(r) for r in dedupe_trips(trips).collect()] == [(1, 4.0, {"k": "a"})]
+
+
+def test_one_shuffle_gives_funnel_and_curated_trips(spark, small):
+    trips = standard_trips(adapters.trips_raw(spark, small))
+    for case in (trips, trips.drop("dropoff_datetime", "trip_distance_km"), trips.drop("dropoff_datetime", "trip_distance_km", "fare_amount", "trip_id")):
+        groups = quality.quality_groups(case)
+        assert bag(plausible_trips(quality.cleaned_rows(groups), null_duration="keep")) == bag(
+            curate_trips(case, null_duration="keep")
+        )
+        assert bag(quality.funnel_of_groups(groups)) == bag(quality.quality_funnel(case))

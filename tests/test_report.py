@@ -95,6 +95,8 @@ def test_whole_run(spark, trip_dir, enriched, tmp_path):
     assert headlines["peak hour"] == str(one["peak_hour"])
     assert headlines["busiest day"] == one["busiest_day"]
     assert headlines["most active zone"] == one["most_active_zone"]
+    last = report.tables["quality_funnel"].orderBy("step_no").collect()[-1]
+    assert last["rows_after"] == one["total_trips"]
 
 
 def test_run_with_boxes_and_curated_table(spark, trip_dir, tmp_path):

@@ -78,20 +78,14 @@ def _key_rules(trips: DataFrame) -> dict[str, Column]:
     return rules
 
 
-def quality_funnel(
-    trips: DataFrame, limits: Limits = LIMITS, null_duration: str = "drop"
-) -> DataFrame:
-    """Rows before and after every preprocessing step, on standardised trips.
-
-    ``rows_failing`` counts the rows that break the step's rule on its own,
-    whatever earlier rules say: among all rows for the key rules, among unique
-    rows for the range rules.
+def quality_groups(trips: DataFrame) -> DataFrame:
+    """Unique rows and what fell away before them: all that the funnel and the curation need.
 
-    One scan. Rows are first grouped by the duplicate key, and rows that fail a
-    key rule by the first rule they fail. Both are reduced before the shuffle,
-    so neither a hot key nor a rule that a third of all rows break is a problem.
+    Rows are grouped by the duplicate key, and rows that fail a key rule by the first
+    rule they fail. Both are reduced before the shuffle, so neither a hot key nor
+    a rule that a third of all rows break is a problem. Rows with ``__failed`` 0 are
+    the cleaned trips; ``__rows`` counts the rows of a group.
     """
-    trips = needed_for(trips, ())
     key_rules = _key_rules(trips)
     first_failed = F.lit(0)
     for i, broken in reversed(list(enumerate(key_rules.values(), start=1))):
@@ -109,23 +103,50 @@ def quality_funnel(
         grouped = flagged.groupBy(
             "__failed", *[F.when(ok, column(c)).alias(c) for c in keys]
         ).agg(F.count(F.lit(1)).alias("__rows"), lowest, *broken_flags)
-        unique = grouped.select(
+        return grouped.select(
             "__failed",
             "__rows",
             *[f"__broken_{i}" for i in range(len(key_rules))],
             *keys,
             *[F.col("__low").getField(c).alias(c) for c in rest],
         )
-    else:
-        unique = flagged.withColumns(
-            {
-                "__rows": F.lit(1).cast("bigint"),
-                **{
-                    f"__broken_{i}": broken.cast("bigint")
-                    for i, broken in enumerate(key_rules.values())
-                },
-            }
-        )
+    return flagged.withColumns(
+        {
+            "__rows": F.lit(1).cast("bigint"),
+            **{
+                f"__broken_{i}": broken.cast("bigint")
+                for i, broken in enumerate(key_rules.values())
+            },
+        }
+    )
+
+
+def cleaned_rows(groups: DataFrame) -> DataFrame:
+    """The cleaned trips among ``quality_groups``."""
+    names = [c for c in groups.columns if not c.startswith("__")]
+    return groups.where("__failed = 0").select([column(c) for c in names])
+
+
+def quality_funnel(
+    trips: DataFrame, limits: Limits = LIMITS, null_duration: str = "drop"
+) -> DataFrame:
+    """Rows before and after every preprocessing step, on standardised trips.
+
+    ``rows_failing`` counts the rows that break the step's rule on its own,
+    whatever earlier rules say: among all rows for the key rules, among unique
+    rows for the range rules. One scan and one shuffle of reduced rows.
+    """
+    return funnel_of_groups(quality_groups(needed_for(trips, ())), limits, null_duration)
+
+
+def funnel_of_groups(
+    unique: DataFrame, limits: Limits = LIMITS, null_duration: str = "drop"
+) -> DataFrame:
+    """The funnel from ``quality_groups``."""
+    trips = unique.select([column(c) for c in unique.columns if not c.startswith("__")])
+    key_rules = _key_rules(trips)
+    keys = dedupe_keys(trips.columns)
+    ok = F.col("__failed") == 0
 
     derived = add_time_columns(unique)
     range_rules = {

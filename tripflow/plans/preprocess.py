@@ -39,11 +39,12 @@ def curate_trips(
     trips = standard_trips(raw)
     if columns is not None:
         trips = needed_for(trips, columns)
-    return (
-        trips.transform(clean_trips)
-        .transform(derive_trips, limits, null_duration)
-        .transform(filter_outliers, limits)
-    )
+    return plausible_trips(clean_trips(trips), limits, null_duration)
+
+
+def plausible_trips(cleaned: DataFrame, limits: Limits = LIMITS, null_duration: str = "drop") -> DataFrame:
+    """The steps after cleaning: derived columns and range rules."""
+    return cleaned.transform(derive_trips, limits, null_duration).transform(filter_outliers, limits)
 
 
 def preprocess(

@@ -20,11 +20,19 @@ from tripflow.functions import weekend_label
 from tripflow.operators import demand
 from tripflow.operators.activity import END_LABELS, combine_ends, top_zones, zone_columns
 from tripflow.operators.boxes import trip_grid
+from tripflow.operators.cleaning import needed_for
 from tripflow.operators.enrich import ENDS, enrich_trips
-from tripflow.operators.quality import data_quality_rate, dataset_overview, null_profile, quality_funnel
+from tripflow.operators.quality import (
+    cleaned_rows,
+    data_quality_rate,
+    dataset_overview,
+    funnel_of_groups,
+    null_profile,
+    quality_groups,
+)
 from tripflow.operators.revenue import order_revenue
 from tripflow.operators.rollup import rollup_by
-from tripflow.plans.preprocess import ANALYSIS_COLUMNS, curate_trips, standard_trips
+from tripflow.plans.preprocess import ANALYSIS_COLUMNS, curate_trips, plausible_trips, standard_trips
 from tripflow.plans.summary import summary_of_tables
 from tripflow.sinks import FORMATS, TableStore, export, save_results
 from tripflow.sources import ZoneSource, scan_trips, zone_files
@@ -198,8 +206,9 @@ def run_report(
 
     The trips are read once for the results: all groupings come out of a single
     aggregation, which is written below ``out`` and is all the result tables
-    read. ``profile`` adds the data-quality tables, which read the raw trips
-    again. ``curated_path`` also writes the curated trips and continues from
+    read. ``profile`` adds the data-quality tables: the unique trips are then written
+    below ``out``, and funnel and curated trips both come from them; overview and null profile
+    are counts over the raw trips without a shuffle. ``curated_path`` also writes the curated trips and continues from
     the written table; where zones come from coordinates, the curated trips are always
     written, if need be below ``out``, so that they are made once.
 
@@ -214,18 +223,22 @@ def run_report(
         if value not in allowed:
             raise ValueError(f"{name} must be one of {allowed}, not {value!r}")
     raw = scan_trips(spark, trips_path)
+    zones = zone_files(spark, lookup_path=lookup_path, boxes_path=boxes_path)
+    by_id = zones is not None and zones.kind == "lookup" and not curated_path
+    columns = ID_COLUMNS if by_id else ANALYSIS_COLUMNS
     tables: dict[str, DataFrame] = {}
     if profile:
-        standard = standard_trips(raw)
         tables["dataset_overview"] = dataset_overview(raw)
         tables["null_profile"] = null_profile(raw)
-        funnel = quality_funnel(standard, limits, null_duration)
+        # One duplicate shuffle gives the funnel and the curated trips.
+        needed = needed_for(standard_trips(raw), columns)
+        unique = _staged(quality_groups(needed), f"{out}/staged/quality_groups")
+        funnel = funnel_of_groups(unique, limits, null_duration)
         tables["quality_funnel"] = _staged(funnel, f"{out}/staged/quality_funnel")
         tables["data_quality_rate"] = data_quality_rate(tables["quality_funnel"])
-    zones = zone_files(spark, lookup_path=lookup_path, boxes_path=boxes_path)
-    by_id = zones is not None and zones.kind == "lookup" and not curated_path
-    columns = ID_COLUMNS if by_id else ANALYSIS_COLUMNS
-    curated = curate_trips(raw, limits, null_duration, columns=columns)
+        curated = plausible_trips(cleaned_rows(unique), limits, null_duration)
+    else:
+        curated = curate_trips(raw, limits, null_duration, columns=columns)
     if curated_path or not by_id:
         curated = _staged(curated, curated_path or f"{out}/staged/curated")
     zones = zones or ZoneSource("grid", grid=trip_grid(curated, num_zones))
