@@ -99,6 +99,23 @@ def test_special_strings_are_ordinary_text(odd):
     assert sum(r.length for r in pieces) == pieces[0].doc_tokens > 12
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u3000"])
+def test_very_long_runs_of_white_space(blank):
+    run = blank * 1_500_000
+    assert len(packing.token_ids(f"x{run}y")) >= 3
+    short = f"a {blank * 60}b{blank * 2} c"
+    other = packing._blank_encoder(packing.VOCABULARY).encode(short, add_special_tokens=False).ids
+    assert packing.token_ids(short) == other
+
+
+def test_many_deleted_lines_of_a_long_text(spark):
+    lines = [f"line number {i} of the text" for i in range(60_000)]
+    rows = [(1, "\n".join(lines[:50_000])), (2, "\n".join(lines))]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_deleted == 0 and got[2].n_deleted == 50_000
+    assert got[2].text == "\n".join(lines[50_000:])
+
+
 def test_packing_loses_nothing(odd):
     rows = packing.pack_documents(odd).collect()
     assert sum(r.length for r in rows if r.doc_id == 1) == 2 * next(r.doc_tokens for r in rows if r.doc_id == 1)

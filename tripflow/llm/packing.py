@@ -10,6 +10,7 @@ knows what was carried over into its own part, and nothing is dealt one after th
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,6 +32,10 @@ END_ID = 0
 #: Documents in one chunk of a queue, on average.
 CHUNK_ROWS = 4096
 RANKS = "byte_bpe_50k.tiktoken"
+#: The same vocabulary for texts with a longer run of white space than `LONG_BLANK`.
+VOCABULARY = "byte_bpe_50k.json"
+LONG_BLANK = 100_000
+_BLANKS = re.compile(r"\s+")
 
 _TOKENS = "doc_id long, _dk long, _tk long, _sk string, n long, ids binary"
 _PIECES = (
@@ -49,15 +54,36 @@ def _encoder(ranks: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
 
+@cache
+def _blank_encoder(vocabulary: str):
+    """The same ids by another library; strings of special tokens are ordinary text."""
+    import public_tokenizers
+    import tokenizers
+
+    found = tokenizers.Tokenizer.from_file(public_tokenizers.path(vocabulary))
+    found.encode_special_tokens = True
+    return found
+
+
+def token_ids(text: str, ranks: str = RANKS, vocabulary: str = VOCABULARY) -> list[int]:
+    """The ids of a whole text.
+
+    The quick encoder steps back over a run of white space character by character, and its
+    stack ends at about a million of them; texts with long runs go to the other one.
+    """
+    if len(text) > LONG_BLANK and max(map(len, _BLANKS.findall(text)), default=0) > LONG_BLANK:
+        return _blank_encoder(vocabulary).encode(text, add_special_tokens=False).ids
+    return _encoder(ranks).encode_ordinary(text)
+
+
 def _tokenize(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
     """Token ids of every text and the end id, as 16-bit numbers."""
-    encode = _encoder(ranks).encode_ordinary
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
             ids = []
             for text in batch.column(4).to_pylist():
-                found = array("H", encode(text))
+                found = array("H", token_ids(text, ranks))
                 found.append(END_ID)
                 ids.append(found.tobytes())
             yield pa.RecordBatch.from_arrays(
