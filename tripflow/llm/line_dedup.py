@@ -112,10 +112,13 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_LI
     lines = _lines(F.col("text"))
     joined = base.select("*", *row_key()).join(gone, ["_dk", "_tk"], "left").withColumn("_ls", lines)
     held = F.filter("_ls", _holds_word)
-    kept = bind(
-        F.transform(held, lambda line, i: F.when(~F.array_contains("deleted", i), line)),
-        lambda ks: F.array_join(F.filter(ks, lambda k: k.isNotNull()), "\n"),
-    )
+
+    def without(ls: Column) -> Column:
+        """The lines but for the deleted; the work grows with the lines alone, however many are deleted."""
+        numbers = F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "deleted")
+        return F.array_join(F.transform(numbers, lambda i: F.get(ls, i)), "\n")
+
+    kept = bind(held, without)
     text = F.when(F.col("deleted").isNull(), F.col("text")).otherwise(kept)
     result = joined.select(
         *[c for c in base.columns if c != "text"],
