@@ -148,6 +148,52 @@ def test_given_documents_match_all_pairs(given, spark):
     assert {r.doc_id: r.component_id for r in got} == plain.near_components([(i, r.text) for i, r in given.items()])
 
 
+def template_texts(rng, count):
+    """Texts that share a template of 100 words and differ in 8 to 40; some pairs are similar enough."""
+    template, endings = sentence(rng, 100), [sentence(rng, 40).split() for _ in range(count // 4)]
+    rows = []
+    for i in range(count):
+        own = list(endings[i % len(endings)])
+        for _ in range(rng.choice((0, 2, 6))):
+            own[rng.randrange(len(own))] = f"own{i}"
+        rows.append((i, f"{template} {' '.join(own[: rng.choice((8, 25, 40, 40))])}"))
+    return rows
+
+
+@pytest.mark.parametrize("crowd", [0, 3, near_dedup.CROWD])
+def test_crowded_buckets_lose_no_link(spark, crowd):
+    rows = template_texts(random.Random(8), 120) + [(500 + i, t) for i, t in near_copies(random.Random(9), 24)]
+    got = near_dedup.mark_near_duplicates(documents(spark, rows), crowd=crowd).collect()
+    assert {r.doc_id: r.component_id for r in got} == plain.near_components(rows)
+
+
+def test_all_pairs_of_a_crowd_meet_in_rarest_shingles(spark):
+    """With every text a component of its own, every similar pair is found, and few of the others."""
+    rows = template_texts(random.Random(10), 100)
+    docs = documents(spark, rows)
+    signed = near_dedup.signatures(docs).dropDuplicates(["digest"])
+    members = signed.withColumn("key", F.lit(1)).withColumn("label", F.col("digest"))
+    texts = signed.join(docs.select(F.col("doc_id").alias("_dk"), "text"), "_dk").select("digest", "text")
+    found = near_dedup._crowd_pairs(members, texts, 4, 80)
+    links = {tuple(r) for r in near_dedup.verify_pairs(found, texts, 4, 80).select(F.hex("a"), F.hex("b")).collect()}
+    sets = {r.digest.hex().upper(): plain.shingle_set(r.text, 4) for r in texts.collect()}
+    for a in sets:
+        for b in sets:
+            if a < b:
+                common = len(sets[a] & sets[b])
+                assert ((a, b) in links) == (100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common))
+
+
+def test_similar_sets_share_a_rarest_item():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 9, near_dedup.RARITY_CELLS)
+    for _ in range(300):
+        pool = np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64))
+        a, b = (pool[rng.random(len(pool)) < 0.93] for _ in "ab")
+        if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
+            assert len(np.intersect1d(*(near_dedup.rarest_items(x, counts, 80) for x in (a, b))))
+
+
 def test_words_are_hashed_alike_in_pieces():
     text = ("Über  äa\tB c\n" * 50).encode()
     data = np.frombuffer(text, np.uint8)

@@ -10,7 +10,10 @@ texts are compared; the rest is confirmed on the full sets.
 Candidates of one band key are never all paired. First every one is compared with the
 bucket's smallest, then, where a bucket still holds several components, with a
 random member of each bucket; only pairs that are in different components after that are looked at singly.
-Two members of one component need no link of their own, so none is lost.
+Two members of one component need no link of their own, so none is lost. Where a bucket still
+has many members then (texts that share a template, but are not similar enough), its pairs are
+not looked at either: similar sets must share one of their rarest shingles, and only members
+that do are paired. This loses no link, whatever counts as rare.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial
 from hashlib import blake2b
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,10 @@ SKETCH_BITS = 256
 WHOLE_BITS = 512
 #: Bitmaps of a pair at 0.8 differ in 42 bits, give or take 8; beyond this many (0.55) it is no candidate.
 MOST_BITS = 80
+#: Buckets that have more members after the star turns are split by the members' rarest shingles.
+CROWD = 64
+#: Cells of the histogram that tells how rare a shingle is.
+RARITY_CELLS = 1 << 20
 
 _SAMPLES = BANDS * ROWS
 _random = np.random.default_rng(4)
@@ -140,6 +148,50 @@ def _linked(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Itera
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Batches with the shingle sets of their last column's texts."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 64):
+            batch = whole.slice(at, 64)
+            data, starts = utf8(batch.column(whole.num_columns - 1))
+            yield batch, [shingles(word_hashes(data[a:b]), size) for a, b in pairwise(starts)]
+
+
+def _cells(items: np.ndarray) -> np.ndarray:
+    return (items & U64(RARITY_CELLS - 1)).astype(np.int64)
+
+
+def _tally(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """How many sets have a shingle in each cell, one table a task."""
+    counts = np.zeros(RARITY_CELLS, np.int64)
+    for _, sets in _sets(batches, size):
+        np.add.at(counts, _cells(np.concatenate(sets)), 1)
+    cells = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], names=["cell", "n"])
+
+
+def rarest_items(items: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The part of a set in which it meets every set that is similar enough.
+
+    Similar sets have ``percent`` of either in common. With all shingles in one order, a set
+    less all but one of so many shingles must hold a common one; rare shingles come first.
+    """
+    needed = -(-len(items) * percent // 100)
+    order = np.lexsort((items, counts[_cells(items)]))
+    return items[order[: len(items) - needed + 1]]
+
+
+def _rarest(batches: Iterator[pa.RecordBatch], shared, size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """(digest, key): every text's rarest shingles."""
+    counts = shared.value
+    for batch, sets in _sets(batches, size):
+        keys = [rarest_items(items, counts, percent).view(np.int64) for items in sets]
+        rows = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(rows)), pa.array(np.concatenate(keys))], names=["digest", "key"]
+        )
+
+
 def _may_link(left: str, right: str, percent: int) -> Column:
     """Whether the sketches, named with these prefixes, allow the similarity."""
 
@@ -201,13 +253,45 @@ def _other_pairs(members: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def _crowd_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """As `_other_pairs`, for large buckets: pairs that share one of their rarest shingles."""
+    nodes = members.groupBy("digest").agg(*[F.min(c).alias(c) for c in ("label", *_SKETCH)])
+    nodes = stage(nodes, "near-crowd")
+    chosen = stage(texts.join(nodes.select("digest"), "digest", "left_semi"), "near-crowd-texts")
+    tally = map_in_arrow(chosen.select("text"), partial(_tally, size=size), "cell long, n long")
+    found = tally.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # one row a cell at most
+    counts = np.zeros(RARITY_CELLS, np.int64)
+    counts[found["cell"].to_numpy()] = found["n"].to_numpy()
+    shared = members.sparkSession.sparkContext.broadcast(counts)
+    rarest = map_in_arrow(
+        chosen.select("digest", "text"), partial(_rarest, shared=shared, size=size, percent=percent), "digest binary, key long"
+    )
+    labelled = stage(rarest.join(nodes.select("digest", "label"), "digest"), "near-rarest")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
+    meeting = labelled.select("digest", "key").join(mixed.select("key"), "key", "left_semi")
+    return _other_pairs(meeting.join(nodes, "digest"), percent)
+
+
+def _last_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int, crowd: int) -> DataFrame:
+    """The pairs that the star turns leave open: small buckets by their members, others by rarest shingles."""
+    large = members.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > crowd).select("key")
+    large = stage(large, "near-large")
+    if large.isEmpty():
+        return _other_pairs(members, percent)
+    few = _other_pairs(members.join(large, "key", "left_anti"), percent)
+    many = _crowd_pairs(members.join(large, "key", "left_semi"), texts, size, percent)
+    return few.unionByName(many).distinct()
+
+
+def near_duplicates(
+    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, crowd: int = CROWD
+) -> DataFrame:
     """(_dk, _tk, n_shingles, component_id): one row per row of ``docs``, see `row_key`.
 
     Texts are linked if 100 times the common shingles are at least ``percent`` times
     all shingles; ``component_id`` is the smallest doc_id (NULL last) that links reach.
     NULL texts and texts without words are linked with nothing. Rows equal in
-    doc_id and text are one document.
+    doc_id and text are one document. ``crowd`` sets how pairs are found, not which.
     """
     signed = stage(signatures(docs, size), "near-signed")
     full = signed.where("digest IS NOT NULL")
@@ -235,7 +319,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     comps = None
     for turn in (0, 1, 2):
         members = _mixed_buckets(live, comps)
-        pairs = _star_pairs(members, turn, percent) if turn < 2 else _other_pairs(members, percent)
+        if turn < 2:
+            pairs = _star_pairs(members, turn, percent)
+        else:
+            pairs = _last_pairs(members, texts, size, percent, crowd)
         edges = stage(verify_pairs(stage(pairs, "near-pairs"), texts, size, percent), "near-edges")
         comps = _merge(comps, edges)
     labelled = (
@@ -275,7 +362,9 @@ def _merge(comps: DataFrame | None, edges: DataFrame) -> DataFrame:
     return stage(known.unionByName(added), "near-components")
 
 
-def mark_near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def mark_near_duplicates(
+    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, crowd: int = CROWD
+) -> DataFrame:
     """Documents with ``n_shingles``, ``component_id`` and ``kept`` (the component's smallest doc_id).
 
     NULL doc_ids stand after all others and have a NULL component of their own. Of rows
@@ -283,7 +372,7 @@ def mark_near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: in
     result's name are replaced.
     """
     base = replace_columns(docs, ["n_shingles", "component_id", "kept", "_dk", "_tk"])
-    found = near_duplicates(docs, size, percent).dropDuplicates(["_dk", "_tk"])
+    found = near_duplicates(docs, size, percent, crowd).dropDuplicates(["_dk", "_tk"])
     joined = base.select("*", *row_key()).join(found, ["_dk", "_tk"])
     own = F.col("component_id") == F.col("_dk")
     last = F.lit(2**63 - 1)
