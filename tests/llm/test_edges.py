@@ -6,6 +6,7 @@ import uuid
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,29 @@ def test_special_strings_are_ordinary_text(odd):
     assert sum(r.length for r in pieces) == pieces[0].doc_tokens > 12
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<|endoftext|>",
+        "one text\n\n<|endoftext|>\n another  <|endoftext|><|endoftext|> x <|endoftext|",
+        "  <|endoftext|>   ",
+        "\U0001f600 ä́ <|endoftext|> \x00 'LL<|ENDOFTEXT|>",
+        "no such token",
+        f"a{' ' * 120_000}<|endoftext|> b",
+    ],
+)
+def test_added_tokens_have_the_ids_of_the_vocabulary(spark, text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    unmodified = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    expected = unmodified.encode(text, add_special_tokens=False).ids
+    assert packing.token_ids(text) == expected
+    pieces = packing.pack_documents(spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")).collect()
+    ids = np.frombuffer(b"".join(r.ids for r in sorted(pieces, key=lambda r: r.start)), "<u4").tolist()
+    assert ids == [*expected, 0]
+
+
 @pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u3000"])
 def test_very_long_runs_of_white_space(blank):
     run = blank * 1_500_000

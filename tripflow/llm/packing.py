@@ -45,7 +45,7 @@ _PIECES = (
 
 @cache
 def _encoder(ranks: str):
-    """The byte-level BPE of the rank file; strings of special tokens are ordinary text."""
+    """The byte-level BPE of the rank file, for texts without added tokens."""
     import public_tokenizers
     import tiktoken
 
@@ -56,17 +56,44 @@ def _encoder(ranks: str):
 
 @cache
 def _blank_encoder(vocabulary: str):
-    """The same ids by another library; strings of special tokens are ordinary text."""
+    """The same ids by another library, added tokens as the vocabulary has them."""
     import public_tokenizers
     import tokenizers
 
-    found = tokenizers.Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    found.encode_special_tokens = True
-    return found
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path(vocabulary))
+
+
+@cache
+def _added_tokens(vocabulary: str) -> tuple[re.Pattern | None, dict[str, int], bool]:
+    """A pattern that finds the vocabulary's added tokens, their ids, and whether all are matched as they stand."""
+    added = _blank_encoder(vocabulary).get_added_tokens_decoder()
+    ids = {token.content: i for i, token in added.items()}
+    longest = sorted(ids, key=len, reverse=True)
+    exact = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
+    return re.compile("|".join(map(re.escape, longest))) if ids else None, ids, exact
 
 
 def token_ids(text: str, ranks: str = RANKS, vocabulary: str = VOCABULARY) -> list[int]:
-    """The ids of a whole text.
+    """The ids of a whole text, as the vocabulary gives them without special tokens around it.
+
+    A string of an added token, such as <|endoftext|>, is the one id of that token; the
+    parts between are encoded by themselves.
+    """
+    pattern, added, exact = _added_tokens(vocabulary)
+    if pattern is None or not pattern.search(text):
+        return _plain_ids(text, ranks, vocabulary)
+    if not exact:
+        return _blank_encoder(vocabulary).encode(text, add_special_tokens=False).ids
+    ids, at = [], 0
+    for found in pattern.finditer(text):
+        ids += _plain_ids(text[at : found.start()], ranks, vocabulary)
+        ids.append(added[found.group()])
+        at = found.end()
+    return ids + _plain_ids(text[at:], ranks, vocabulary)
+
+
+def _plain_ids(text: str, ranks: str, vocabulary: str) -> list[int]:
+    """The ids of a text without added tokens.
 
     The quick encoder steps back over a run of white space character by character, and its
     stack ends at about a million of them; texts with long runs go to the other one.
