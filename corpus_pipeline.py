@@ -16,7 +16,7 @@ from tripflow.llm.common import stage
 from tripflow.llm.language_id import identify_languages
 from tripflow.llm.line_dedup import dedup_lines
 from tripflow.llm.mixing import take_mix
-from tripflow.llm.near_dedup import mark_near_duplicates
+from tripflow.llm.near_dedup import one_of_each_group
 from tripflow.llm.packing import pack_documents
 
 #: The near-duplicate stage takes five words and a similarity of 0.8.
@@ -34,9 +34,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    marked = mark_near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT)
-    return marked.where("kept").select(*docs.columns)
+    """One row of each group of near duplicates, also of rows with NULL or repeated ids."""
+    return one_of_each_group(docs, size=SHINGLE_WORDS, percent=PERCENT)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

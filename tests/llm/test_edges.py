@@ -183,3 +183,19 @@ def test_pipeline_takes_odd_rows(spark, odd):
     for name, function in corpus_pipeline.STAGES:
         before = spark.createDataFrame(function(spark, before, "").collect() or [], before.schema if name != "packing" else function(spark, before, "").schema)
     assert before.count() > 0
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    words = [f"word{i}" for i in range(60)]
+    texts = {c: " ".join(f"{c}{w}" for w in words) for c in "pqrst"}
+    near = {c: f"{t} end" for c, t in texts.items()}
+    rows = [(None, texts["p"]), (None, near["p"]), (None, texts["p"]), (None, texts["q"])]
+    rows += [(7, texts["r"])] * 3 + [(8, texts["s"]), (8, near["s"]), (8, texts["t"]), (9, near["r"])]
+    rows += [(3, ""), (3, ""), (None, None), (None, None)]
+    table = [(i, t, "en", f"s{k % 2}", k) for k, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(table, SCHEMA).withColumn("attributes", F.create_map(F.lit("k"), F.lit("v")))
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    back = {c: [r for r in got.collect() if r.text and r.text.startswith(c)] for c in "pqrst"}
+    assert {c: [r.doc_id for r in rs] for c, rs in back.items()} == {"p": [None], "q": [None], "r": [7], "s": [8], "t": [8]}
+    assert got.count() == 5 + 4

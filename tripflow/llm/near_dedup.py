@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tripflow.llm.bytestext import U64, mix, shingles, utf8, word_hashes
 from tripflow.llm.common import column_or_null, map_in_arrow, replace_columns, row_key, stage
@@ -286,12 +287,14 @@ def _last_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int, c
 def near_duplicates(
     docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, crowd: int = CROWD
 ) -> DataFrame:
-    """(_dk, _tk, n_shingles, component_id): one row per row of ``docs``, see `row_key`.
+    """(_dk, _tk, n_shingles, component_id, _group): one row per row of ``docs``, see `row_key`.
 
     Texts are linked if 100 times the common shingles are at least ``percent`` times
     all shingles; ``component_id`` is the smallest doc_id (NULL last) that links reach.
     NULL texts and texts without words are linked with nothing. Rows equal in
-    doc_id and text are one document. ``crowd`` sets how pairs are found, not which.
+    doc_id and text are one document. ``_group`` tells components apart also where ids are
+    NULL or repeated, and is NULL for texts without words. ``crowd`` sets how pairs are
+    found, not which.
     """
     signed = stage(signatures(docs, size), "near-signed")
     full = signed.where("digest IS NOT NULL")
@@ -331,9 +334,11 @@ def near_duplicates(
         .withColumn("label", F.coalesce("label", "digest"))
     )
     first = labelled.groupBy("label").agg(F.min("_dk").alias("component_id"))
-    of_digest = labelled.select("digest", "label").join(first, "label").select("digest", "component_id")
+    of_digest = labelled.select("digest", "label").join(first, "label").select(
+        "digest", "component_id", F.col("label").alias("_group")
+    )
     return signed.join(of_digest, "digest", "left").select(
-        "_dk", "_tk", "n_shingles", F.coalesce("component_id", "_dk").alias("component_id")
+        "_dk", "_tk", "n_shingles", F.coalesce("component_id", "_dk").alias("component_id"), "_group"
     )
 
 
@@ -367,12 +372,15 @@ def mark_near_duplicates(
 ) -> DataFrame:
     """Documents with ``n_shingles``, ``component_id`` and ``kept`` (the component's smallest doc_id).
 
-    NULL doc_ids stand after all others and have a NULL component of their own. Of rows
-    with one doc_id all or none are kept. An empty table gives no rows; input columns with a
-    result's name are replaced.
+    NULL doc_ids stand after all others; a component of NULL ids only has a NULL id. ``kept``
+    speaks of ids, not of rows: a row is kept if its own doc_id is its component's smallest, so
+    repeated rows, members with that same id and all members of a component of NULL ids are kept
+    together, and of rows with one doc_id and different texts some may be kept. For one row
+    of each component see `one_of_each_group`. An empty table gives no rows; input columns
+    with a result's name are replaced.
     """
     base = replace_columns(docs, ["n_shingles", "component_id", "kept", "_dk", "_tk"])
-    found = near_duplicates(docs, size, percent, crowd).dropDuplicates(["_dk", "_tk"])
+    found = near_duplicates(docs, size, percent, crowd).drop("_group").dropDuplicates(["_dk", "_tk"])
     joined = base.select("*", *row_key()).join(found, ["_dk", "_tk"])
     own = F.col("component_id") == F.col("_dk")
     last = F.lit(2**63 - 1)
@@ -382,3 +390,26 @@ def mark_near_duplicates(
         F.when(F.col("component_id") != last, F.col("component_id")).alias("component_id"),
         own.alias("kept"),
     )
+
+
+def one_of_each_group(
+    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, crowd: int = CROWD
+) -> DataFrame:
+    """One row of each group of near duplicates; texts without words are in no group, all their rows stay.
+
+    A group is a component of texts, whatever ids its rows have: the row of the smallest
+    doc_id (NULL last) stays, of several such texts the one with the smallest hash, and of rows equal
+    in doc_id and text the one whose other columns have the smallest hash.
+    """
+    found = near_duplicates(docs, size, percent, crowd)
+    texts = stage(found.groupBy("_group", "_dk", "_tk").agg(F.count("*").alias("_n")), "near-places")
+    firsts = texts.where("_group IS NOT NULL").groupBy("_group").agg(F.min(F.struct("_dk", "_tk", "_n")).alias("_row"))
+    wordless = texts.where("_group IS NULL").select("_dk", "_tk", F.lit(1).cast("long").alias("_n"))
+    wanted = stage(firsts.select("_row.*").unionByName(wordless), "near-firsts")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *row_key()).join(wanted, ["_dk", "_tk"])
+    single = rows.where("_n = 1").select("_row.*")
+    if wanted.where("_n > 1").isEmpty():
+        return single
+    plain = [F.col(f"_row.{f.name}") for f in docs.schema.fields if isinstance(f.dataType, AtomicType)]
+    repeated = rows.where("_n > 1").groupBy("_dk", "_tk").agg(F.min_by("_row", F.xxhash64(*plain)).alias("_row"))
+    return single.unionByName(repeated.select("_row.*"))
