@@ -17,7 +17,7 @@ from tests.llm import plain
 from tripflow.llm import fingerprints, line_dedup, mixing, near_dedup, packing, quality_rules, sharding, suffix_dedup, warc
 from tripflow.llm.bytestext import shingles, word_hashes
 from tripflow.llm.components import connected_components
-from tripflow.llm.language_id import identify_languages, kneser_ney
+from tripflow.llm.language_id import identify_languages, kneser_ney, smooth
 from tripflow.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -305,6 +305,46 @@ def test_probabilities_sum_to_one():
     assert np.exp2(below).reshape(-1, 32).sum(1) == pytest.approx(1)
 
 
+def test_characters_outside_a_to_z_tell_languages_apart(spark):
+    """Pairs of languages with the same words but for letters 5, 10, ... code points apart."""
+    rng = random.Random(11)
+    stocks = {
+        "latin": ("abdeghéñ", "abdeghäö"),
+        "cyrillic": ("абвгдежз", "жзийклмн"),
+        "han": ("一丁丂七丄", "丏丐丑丒专"),
+    }
+    rows = []
+    for script, pair in stocks.items():
+        words = [[rng.randrange(len(pair[0])) for _ in range(rng.randint(2, 6))] for _ in range(40)]
+        for side, letters in enumerate(pair):
+            for _ in range(40):
+                text = " ".join("".join(letters[k] for k in rng.choice(words)) for _ in range(12))
+                rows.append((len(rows), text, f"{script}{side}", None, 0))
+    got = [r for r in identify_languages(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
+    assert len(got) > 40 and np.mean([r.lang == r.lang_pred for r in got]) > 0.98
+    assert not any(r.rejected for r in got)
+
+
+def test_smoothing_matches_plain_version(spark):
+    counts = np.random.default_rng(5).poisson(0.002, 32**4)
+    full, below, weight = kneser_ney(counts)
+    rows = []
+    for gram in np.flatnonzero(counts):
+        a, b, c, last = (int(gram) >> k & 31 for k in (15, 10, 5, 0))
+        rows.append(("x", a << 42 | b << 21 | c, last, int(counts[gram])))
+    grams, weights = smooth(spark.createDataFrame(rows, "lang string, before long, last long, n long"), codes=32)
+
+    def number(before):
+        return (before >> 42) << 10 | (before >> 21 & 31) << 5 | before & 31
+
+    found = {(r.before, r.last): r.log for r in grams.where("level = 0").collect()}
+    assert len(found) == len(rows)
+    assert all(v == pytest.approx(full[number(h) << 5 | last], abs=1e-4) for (h, last), v in found.items())
+    three = grams.where("level = 1").collect()
+    assert three and all(r.log == pytest.approx(below[number(r.before) << 5 | r.last], abs=1e-4) for r in three)
+    assert all(r.log == pytest.approx(weight[number(r.before)], abs=1e-4) for r in weights.where("level = 0").collect())
+
+
 # ---- quality rules
 
 
