@@ -14,7 +14,7 @@ def test_query_equals_sql(spark, small, name):
     names = sorted(result.columns)
     got = sorted((tuple(r[c] for c in names) for r in result.collect()), key=repr)
     with duckdb.connect() as duck:
-        for table in ("documents", "pages"):
+        for table in ("documents", "pages", "benchmark"):
             duck.execute(f"create view {table} as select * from '{small}/{table}.parquet'")
         cursor = duck.execute(oracle_sql()[name])
         order = [d[0] for d in cursor.description]

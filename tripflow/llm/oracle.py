@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm import line_dedup, mixing, near_dedup, quality_rules
+from tripflow.llm import line_dedup, mixing, near_dedup, quality_rules, resampling
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 _BLANKS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -150,10 +150,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+# CRC-32 by its table: 8 shifts make the step of a byte, the steps of a word's bytes its checksum.
+OP11 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT 's' AS kind, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark
+), words AS (
+  SELECT kind, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM texts
+), shifts AS (
+  SELECT b, 0 AS k, b::BIGINT AS c FROM range(256) AS r(b)
+  UNION ALL
+  SELECT b, k + 1, xor(c >> 1, 3988292384 * (c & 1)) FROM shifts WHERE k < 8
+), steps AS (
+  SELECT list(c ORDER BY b) AS step FROM shifts WHERE k = 8
+), coded AS (
+  SELECT word, xor(list_reduce(list_transform(range(octet_length(encode(word))),
+             lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, step[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295) % {resampling.BUCKETS} AS bucket
+  FROM (SELECT DISTINCT word FROM words), steps
+), counts AS (
+  SELECT kind, bucket, count(*)::DOUBLE AS n FROM words JOIN coded USING (word) GROUP BY ALL
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (all_s + {resampling.BUCKETS}) / ((s + 1) * (all_t + {resampling.BUCKETS}))))::BIGINT AS gain
+  FROM (SELECT bucket, sum(n) FILTER (kind = 's') AS s, coalesce(sum(n) FILTER (kind = 't'), 0) AS t FROM counts GROUP BY bucket),
+       (SELECT coalesce(sum(n) FILTER (kind = 's'), 0) AS all_s, coalesce(sum(n) FILTER (kind = 't'), 0) AS all_t FROM counts)
+  WHERE s IS NOT NULL
+), weights AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS gain
+  FROM words JOIN coded USING (word) JOIN gains USING (bucket) WHERE kind = 's' GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features,
+         CASE WHEN n_features > 0 THEN (gain - ((gain % n_features) + n_features) % n_features) // n_features ELSE 0 END AS weight,
+         ('0x' || substr(sha256('{resampling.SEED}:' || d.doc_id), 1, 8))::BIGINT AS h
+  FROM documents d LEFT JOIN weights w ON w.doc_id = d.doc_id
+), noisy AS (
+  SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS} ORDER BY score DESC, doc_id) AS place,
+         count(*) FILTER (n_features >= {resampling.LEAST_WORDS}) OVER () AS eligible
+  FROM noisy
+)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score,
+       CASE WHEN n_features >= {resampling.LEAST_WORDS} AND place <= {resampling.PERCENT} * eligible // 100 THEN place END AS rank
+FROM ranked
+"""
+
 ORACLES = {
     "op1_line_dedup": OP1,
     "op2_mixing": OP2,
     "op3_warc": OP3,
     "op4_near_dedup": OP4,
     "op7_quality_rules": OP7,
+    "op11_importance_resampling": OP11,
 }

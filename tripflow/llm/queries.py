@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import column_or_null
 from tripflow.llm.fingerprints import compare_with_edits
+from tripflow.llm.identifiers import find_identifiers
 from tripflow.llm.language_id import identify_languages
 from tripflow.llm.line_dedup import dedup_lines
 from tripflow.llm.mixing import mix_sources
@@ -17,9 +18,11 @@ from tripflow.llm.near_dedup import mark_near_duplicates
 from tripflow.llm.oracle import ORACLES
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.quality_rules import apply_rules
+from tripflow.llm.resampling import resample
 from tripflow.llm.sharding import shard_documents
 from tripflow.llm.suffix_dedup import remove_repeats
 from tripflow.llm.warc import archive_path, read_archive, write_archive
+from tripflow.llm.whitening import whiten
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +89,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir).select("doc_id", "text", "source"), with_ids=False)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")
+    drawn = resample(_documents(spark, sf_dir).select("doc_id", "text"), target)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_identifiers(_documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"], redact=False)
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_disguised")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return whiten(vectors, keep=["vec_id"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_pii": op12_pii,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
