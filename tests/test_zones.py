@@ -47,7 +47,7 @@ def attached(spark, points, zones, **options):
     )
 
 
-WAYS = {"as Spark chooses": {}, "merged": {"join": "merge"}}
+WAYS = {"indexed": {}, "joined": {"join": "broadcast"}, "merged": {"join": "merge"}}
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -151,7 +151,7 @@ def test_hot_point(spark):
         bag(boxes.attach_boxes(trips, zones, "pickup", **way).groupBy("pickup_zone_id").count())
         for way in WAYS.values()
     ]
-    assert counts[0] == counts[1]
+    assert counts[0] == counts[1] == counts[2]
     assert sum(n for n, _ in counts[0]) == 9_000
 
 
@@ -241,3 +241,97 @@ def test_lookup_beyond_the_broadcast_limit(spark, small):
         assert bag(merged) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def put(settings):
+        for key, value in settings.items():
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+# Joins by shuffle, partitions of a few kB count as large.
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def tasks_stay_even(table):
+    """No task of the join has over three times the rows of the median task that has any."""
+    tasks = table.withColumn("__task", F.spark_partition_id()).groupBy("__task")
+    tasks = tasks.agg(F.count("*").alias("n"), F.max("note"), F.max("pickup_zone_name"))
+    counts = sorted(r["n"] for r in tasks.collect())
+    assert "skew=true" in tasks._jdf.queryExecution().executedPlan().toString()
+    return counts[-1] <= 3 * counts[len(counts) // 2]
+
+
+def join_sides(table):
+    """What stands right below the sorts of a merge join in the plan before execution."""
+    text = table._jdf.queryExecution().executedPlan().toString()
+    lines = [line.strip(" :+-|*()0123456789") for line in text.splitlines()]
+    return [lines[k + 1].split(" ")[0] for k, line in enumerate(lines) if line.startswith("Sort [") and "__" in line]
+
+
+def test_hot_location_is_split(spark, conf):
+    """Half of all trips have one id: both sides of the join are plain shuffles, and no task is overloaded."""
+    conf(SHUFFLED)
+    trips = spark.range(60_000, numPartitions=12).select(
+        F.col("id").alias("trip_id"),
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 997).cast("int").alias("pickup_location_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("note"),
+    )
+    names = spark.range(1000).selectExpr(
+        "cast(id as int) as location_id", "'b' as borough", "concat('z', id) as zone_name", "'s' as service_zone"
+    )
+    got = lookup.attach_lookup(trips, names, "pickup")
+    assert set(join_sides(got)) == {"Exchange"} and "BroadcastHashJoin" not in plan(got)
+    assert tasks_stay_even(got)
+    assert got.where("pickup_zone_name = concat('z', pickup_location_id)").count() == 60_000
+
+
+def test_hot_point_is_split(spark, conf):
+    conf(SHUFFLED)
+    trips = spark.range(60_000, numPartitions=12).select(
+        F.col("id").alias("trip_id"),
+        F.when(F.col("id") % 2 == 0, 0.5).otherwise(F.col("id") % 997 / 997).alias("pickup_longitude"),
+        F.lit(0.5).alias("pickup_latitude"),
+        F.sha2(F.col("id").cast("string"), 256).alias("note"),
+    )
+    zones = spark.createDataFrame([(2, "B", 0.4, 0.6, 0.0, 1.0), (3, "C", 0.0, 1.0, 0.0, 1.0)], BOX)
+    got = boxes.join_boxes(trips, zones, "pickup")
+    assert tasks_stay_even(got)
+    assert bag(got) == bag(boxes.attach_boxes(trips, zones, "pickup"))
+
+
+def test_few_boxes_move_no_trip(spark, small):
+    """An index up to a fixed number of boxes, a join beyond it; no exchange by the index."""
+    trips = spark.range(500).selectExpr("id as trip_id", "id % 25 * 1D as pickup_longitude", "id % 7 * 1D as pickup_latitude")
+    row = [
+        "cast(id + 1 as int) as zone_id", "concat('z', id) as zone_name", "id % 24 - 0.5D as min_longitude",
+        "id % 24 + 0.5D as max_longitude", "id % 6 - 0.5D as min_latitude", "id % 6 + 1.5D as max_latitude",
+    ]
+    for n, indexed in ((20, True), (boxes.MOST_INDEXED, True), (boxes.MOST_INDEXED + 1, False)):
+        zones = spark.range(n).selectExpr(*row)
+        got = boxes.attach_boxes(trips, zones, "pickup", unmatched="keep")
+        assert ("Join" not in plan(got) and "Exchange" not in plan(got)) == indexed
+        assert bag(got) == bag(boxes.join_boxes(trips, zones, "pickup", unmatched="keep"))
+
+
+def test_one_bounds_row_in_a_grid_plan(spark, small):
+    trips = curate_trips(adapters.trips_raw(spark, small))
+    grid = boxes.attach_grid(trips, boxes.trip_grid(trips), "pickup", unmatched="keep")
+    text = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("scalar-subquery") == 1

@@ -14,20 +14,21 @@ def attach_lookup(trips: DataFrame, lookup: DataFrame, end: str) -> DataFrame:
 
     Trips with an unknown id keep their id as zone id and get NULL names. No
     broadcast is forced: Spark broadcasts the lookup while its measured size is
-    under the broadcast threshold and otherwise sorts and merges, where adaptive
-    execution splits an overloaded location id. Of lookup rows with one id only the
-    lowest counts, NULLs lowest, so that no trip is multiplied.
+    under the broadcast threshold and otherwise sorts and merges. The join key is the
+    complement of the id on both sides, so the unique lookup is dealt out by a shuffle of its own:
+    between two plain shuffles, adaptive execution can split an overloaded
+    location id, which it cannot while one side is an aggregate on the join key.
+    Of lookup rows with one id only the lowest counts, NULLs lowest, so that no trip is multiplied.
     """
-    key = f"{end}_location_id"
+    key = F.col(f"{end}_location_id")
     names = F.min(F.struct(*LOOKUP_FIELDS)).alias("__names")
-    unique = lookup.groupBy("location_id").agg(names).select("location_id", "__names.*")
-    side = unique.select(
-        F.col("location_id").alias(key),
-        *[F.col(c).alias(f"{end}_{label}") for c, label in LOOKUP_FIELDS.items()],
+    unique = lookup.groupBy("location_id").agg(names).select(
+        F.bitwise_not(F.col("location_id").cast("bigint")).alias("__id"),
+        *[F.col(f"__names.{c}").alias(f"{end}_{label}") for c, label in LOOKUP_FIELDS.items()],
     )
-    return trips.join(side, key, "left").select(
+    return trips.join(unique, F.bitwise_not(key.cast("bigint")) == F.col("__id"), "left").select(
         *[column(c) for c in trips.columns],
-        F.col(key).alias(f"{end}_zone_id"),
+        key.alias(f"{end}_zone_id"),
         *[f"{end}_{label}" for label in LOOKUP_FIELDS.values()],
     )
 
