@@ -9,7 +9,7 @@ from helpers import bag, plan
 from tripflow import adapters
 from tripflow.operators import boxes, enrich, lookup
 from tripflow.plans.preprocess import curate_trips
-from tripflow.sources import ZoneSource, read_zone_boxes, read_zone_lookup, zone_files
+from tripflow.sources import ZoneFileError, ZoneSource, check_zone_boxes, check_zone_lookup, read_zone_boxes, read_zone_lookup, zone_files
 
 BOX = (
     "zone_id int, zone_name string, min_longitude double, max_longitude double, "
@@ -199,6 +199,44 @@ def test_zone_files(spark, tmp_path):
     assert enrich.resolve_zone_source(spark, trips, lookup_path=missing).kind == "grid"
 
 
+def test_broken_rows_are_set_aside(spark, tmp_path):
+    path = str(tmp_path / "lookup.csv")
+    (tmp_path / "lookup.csv").write_text(
+        'LocationID,Borough,Zone,service_zone\n1,Queens,"A, B",Boro\nx,Queens,C,Boro\n2,Queens\n3,a,b,c,d\n,e,f,g\n4,,,\n'
+    )
+    good, bad = check_zone_lookup(spark, path)
+    assert [tuple(r) for r in good.collect()] == [(1, "Queens", "A, B", "Boro"), (4, None, None, None)]
+    assert sorted((r.line, r.reason) for r in bad.collect()) == [
+        (",e,f,g", "LocationID is not a whole number"),
+        ("2,Queens", "fields do not fit the header"),
+        ("3,a,b,c,d", "fields do not fit the header"),
+        ("x,Queens,C,Boro", "LocationID is not a whole number"),
+    ]
+    assert good.count() == 2 and good.select("zone_name").count() == 2 and {r.file for r in bad.collect()} == {path}
+    (tmp_path / "boxes.csv").write_text("zone_id,zone_name,min_longitude,max_longitude,min_latitude,max_latitude\n1,A,0,1,0,1\nB,1\n")
+    good, bad = check_zone_boxes(spark, str(tmp_path / "boxes.csv"))
+    assert (good.count(), bad.count()) == (1, 1)
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,2\n", "", "\x00\x01\x02 no table", "Zone,Borough\nA,B\n"])
+def test_a_lookup_that_does_not_load_leaves_the_ids(spark, tmp_path, text):
+    (tmp_path / "lookup.csv").write_text(text)
+    (tmp_path / "boxes.csv").write_text(BOXES)
+    names = str(tmp_path / "lookup.csv")
+    with pytest.raises(ZoneFileError, match="LocationID"):
+        read_zone_lookup(spark, names)
+    assert zone_files(spark, lookup_path=names) is None
+    assert zone_files(spark, lookup_path=names, boxes_path=str(tmp_path / "boxes.csv")).kind == "boxes"
+    trips = spark.createDataFrame([(1, 7)], "trip_id bigint, pickup_location_id int")
+    row = enrich.enrich_trips(trips, enrich.resolve_zone_source(spark, trips, lookup_path=names)).first()
+    assert (row["pickup_zone_id"], row["pickup_zone_name"]) == (7, "Zone_7")
+
+
+def test_a_lookup_needs_ids_and_names_only(spark, tmp_path):
+    (tmp_path / "lookup.csv").write_text("Zone,LocationID\nA,1\n")
+    assert [tuple(r) for r in read_zone_lookup(spark, str(tmp_path / "lookup.csv")).collect()] == [(1, None, "A", None)]
+
+
 def test_each_end_is_decided_on_its_own(spark):
     trips = spark.createDataFrame([(1, 0.5, 0.5, 7)], POINT + ", dropoff_location_id int")
     table = spark.createDataFrame([(1, "A", 0.0, 1.0, 0.0, 1.0)], BOX)

@@ -7,7 +7,7 @@ import argparse
 from tripflow.constants import DEFAULT_GRID_ZONES, RESULT_DATABASE
 from tripflow.plans.report import run_report
 from tripflow.session import create_session
-from tripflow.sinks import TableStore
+from tripflow.sinks import FORMATS, TableStore
 
 
 def main() -> None:
@@ -18,8 +18,8 @@ def main() -> None:
     parser.add_argument("--boxes", help="zone bounding-box CSV")
     parser.add_argument("--grid-zones", type=int, default=DEFAULT_GRID_ZONES)
     parser.add_argument("--curated", help="also write the curated trips here")
-    parser.add_argument("--store", help="also store the result tables below this location")
-    parser.add_argument("--format", default="csv", choices=["csv", "json"])
+    parser.add_argument("--store", help="also store the result tables below this location, in versions")
+    parser.add_argument("--format", default="csv", choices=list(FORMATS))
     parser.add_argument("--null-duration", default="drop", choices=["drop", "keep"])
     parser.add_argument("--unmatched", default="keep", choices=["keep", "drop"], help="trips outside all zones")
     parser.add_argument("--no-profile", action="store_true", help="skip the quality tables")
@@ -34,7 +34,7 @@ def main() -> None:
         boxes_path=args.boxes,
         num_zones=args.grid_zones,
         curated_path=args.curated,
-        store=TableStore(RESULT_DATABASE, args.store) if args.store else None,
+        store=TableStore(RESULT_DATABASE, args.store, versioned=True) if args.store else None,
         format=args.format,
         null_duration=args.null_duration,
         unmatched=args.unmatched,

@@ -157,3 +157,33 @@ def trips_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_total_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same trips with a total amount in place of the fare."""
     return trips_raw(spark, sf_dir).withColumnRenamed("fare_amount", "total_amount")
+
+
+ARRIVAL_DAYS = 5
+LATE_EVERY, LATE_DAYS = 61, 12
+
+
+def with_arrival(trips: DataFrame, late: bool = False) -> DataFrame:
+    """Add ``arrival_batch``: trips arrive up to 110 minutes after their pickup, and batches hold five days.
+
+    Copies of a trip may arrive in any order and in different batches. With ``late``, every 61st trip
+    arrives twelve days later still.
+    """
+    trip, fare = F.col("trip_id"), F.coalesce(F.floor("fare_amount"), F.lit(0))
+    delay = F.abs(trip * 7919 + fare * 131) % 6600
+    if late:
+        delay = delay + F.when(trip % LATE_EVERY == 0, LATE_DAYS * 86400).otherwise(0)
+    day = F.date_diff((F.col("pickup_datetime") + _seconds(delay)).cast("date"), F.lit("1970-01-01").cast("date"))
+    return trips.withColumn("arrival_batch", F.floor(day / ARRIVAL_DAYS).cast("int"))
+
+
+def land(arriving: DataFrame, folder: str, batches: list[int]) -> None:
+    """Write these arrival batches to ``folder``, one file after the other."""
+    for batch in batches:
+        rows = arriving.where(F.col("arrival_batch") == batch).drop("arrival_batch")
+        rows.coalesce(1).write.mode("append").parquet(folder)
+
+
+def arrival_batches(arriving: DataFrame) -> list[int]:
+    """The numbers of the batches: a few, as many as the trips' days are times five."""
+    return sorted(row[0] for row in arriving.select("arrival_batch").distinct().collect())

@@ -199,6 +199,22 @@ from (select cast(date_trunc('hour', pickup_datetime) as timestamp) as hour_star
 where hour_start + interval 1 hour
       <= (select max(pickup_datetime) - interval 2 hour from curated)"""
 
+# Trips that arrive twelve days late belong to hours that are closed by then; only they are missing.
+CLOSED_HOURS_ON_TIME = CLOSED_HOURS.replace("from curated group by 1", "from curated where trip_id % 61 <> 0 group by 1")
+
+CLOSED_TRIPS = """select * from cleaned
+where pickup_datetime <= (select max(pickup_datetime) - interval 2 hour from clean_keys)"""
+
+ARRIVED = """arrived as (
+  select *, (cast(pickup_datetime + to_seconds(abs(trip_id * 7919 + cast(floor(fare_amount) as bigint) * 131) % 6600)
+             as date) - date '1970-01-01') // 5 as arrival_batch
+  from curated
+)"""
+ZONE_VERSIONS = """select trip_id, pickup_location_id as pickup_zone_id,
+  case when batch <= 3 then zone_name else zone_name || ' (2)' end as pickup_zone_name, borough as pickup_borough
+from (select *, dense_rank() over (order by arrival_batch) as batch from arrived)
+left join lookup on pickup_location_id = location_id"""
+
 ENDS = """(select pickup_zone_id as zone_id, pickup_zone_name as zone_name, fare_amount from enriched
   union all
   select dropoff_zone_id, dropoff_zone_name, fare_amount from enriched)"""
@@ -620,6 +636,17 @@ from curated group by 1"""
         "report_groups": events(_report_groups()),
         "closed_hours": events(CLOSED_HOURS),
         "stream_hourly_demand": events(CLOSED_HOURS),
+        "stream_hourly_batches": events(CLOSED_HOURS_ON_TIME),
+        "stream_dedupe_trips": events(CLOSED_TRIPS),
+        "stream_zone_names": EVENTS.rstrip() + f",\n{ARRIVED}\n{ZONE_VERSIONS}",
+        "scan_unlike_files": events(
+            "select trip_id, pickup_location_id, fare_amount, passenger_count, "
+            "case when trip_id % 3 = 2 then 'text' end as note from standard"
+        ),
+        "zone_lookup_checked": events("select * from lookup where location_id % 7 not in (0, 1, 2)"),
+        "incremental_curation": events("select * from curated"),
+        "stored_table": events("select trip_id, payment_type, fare_amount from curated"),
+        "json_array_export": events(BY_PAYMENT),
         "curated_trips_volume": volume("select * from curated"),
         "quality_funnel_volume": volume(_funnel()),
         "demand_by_hour_volume": volume(BY_HOUR),

@@ -20,9 +20,18 @@ from tripflow.operators import (
     quality,
     revenue,
 )
-from tripflow.plans import preprocess, report, summary
-from tripflow.sources import ZoneSource, scan_trips
-from tripflow.streaming import closed_hours, drain, hourly_demand_stream, scratch_dir
+from tripflow.plans import monthly, preprocess, report, summary
+from tripflow.sinks import TableLog, TableStore, export, read_table, save_table
+from tripflow.sources import ZoneSource, read_zone_lookup, scan_trips
+from tripflow.streaming import (
+    closed_hours,
+    dedupe_stream,
+    drain,
+    file_stream,
+    hourly_demand_stream,
+    scratch_dir,
+    start_zone_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +101,8 @@ def _enriched_with(raw: Query, *used: str) -> Query:
 
 
 _fares = _curated_with(_raw)
+_fares_by_id = _curated_with(_raw, "trip_id")
+_located = _curated_with(_raw, "trip_id", "pickup_location_id")
 _payments = _curated_with(_raw, "payment_type")
 _zoned = _enriched_with(_raw, "pickup_location_id", "dropoff_location_id", "payment_type")
 _by_hour = _over(_fares, demand.demand_by_hour)
@@ -221,6 +232,105 @@ def streamed_hours(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(drain(hourly_demand_stream(arriving), scratch))
 
 
+def _landed(spark: SparkSession, trips: DataFrame, name: str, late: bool = False):
+    """(scratch folder, trips with their arrival batch, batch numbers), the trips written once."""
+    scratch = scratch_dir(spark, name)
+    adapters.with_arrival(trips, late).write.parquet(f"{scratch}/trips")
+    arriving = spark.read.parquet(f"{scratch}/trips")
+    return scratch, arriving, adapters.arrival_batches(arriving)
+
+
+def streamed_hours_in_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours of trips that arrive in batches, out of order, some of them too late to count."""
+    scratch, arriving, batches = _landed(spark, _fares_by_id(spark, sf), "late-hours", late=True)
+    adapters.land(arriving, f"{scratch}/landed", batches)
+    stream = file_stream(spark, arriving.drop("arrival_batch").schema, f"{scratch}/landed", files_per_batch=1)
+    return rounded(drain(hourly_demand_stream(stream), scratch))
+
+
+def streamed_unique_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicates that arrive in any order and in several batches, with a restart in between."""
+    scratch, arriving, batches = _landed(spark, _clean_keys(spark, sf), "unique-trips")
+    schema = arriving.drop("arrival_batch").schema
+    for some in (batches[:2], batches[2:]):
+        adapters.land(arriving, f"{scratch}/landed", some)
+        found = drain(dedupe_stream(file_stream(spark, schema, f"{scratch}/landed", files_per_batch=1)), scratch)
+    return found
+
+
+def streamed_zone_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Zone names from a lookup of which a new version is published after the third batch."""
+    scratch, arriving, batches = _landed(spark, _located(spark, sf), "zone-names")
+    log = TableLog(spark, f"{scratch}/lookup")
+    names = adapters.zone_lookup(spark, sf)
+    renamed = names.withColumn("zone_name", F.concat("zone_name", F.lit(" (2)")))
+    schema = arriving.drop("arrival_batch").schema
+    for run, table, some in (("first", names, batches[:3]), ("second", renamed, batches[3:])):
+        table.write.mode("overwrite").parquet(log.folder(run))
+        log.publish(run, "overwrite", {None: log.folder(run)})
+        adapters.land(arriving, f"{scratch}/landed", some)
+        stream = file_stream(spark, schema, f"{scratch}/landed", files_per_batch=1)
+        start_zone_stream(stream, log, f"{scratch}/named", f"{scratch}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{scratch}/named").select("trip_id", "pickup_zone_id", "pickup_zone_name", "pickup_borough")
+
+
+def curated_in_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw trips that come in three sets of files, taken in one after the other, kept by day."""
+    scratch = scratch_dir(spark, "monthly")
+    raw = _raw(spark, sf)
+    for part in range(3):
+        raw.where(F.col("trip_id") % 3 == part).write.mode("append").parquet(f"{scratch}/trips")
+        monthly.add_files(spark, f"{scratch}/trips", f"{scratch}/curated", period="yyyy-MM-dd")
+    return monthly.curated_months(spark, f"{scratch}/curated")
+
+
+def stored_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that is replaced, added to, and added to again by a run that is repeated."""
+    store = TableStore("trips", scratch_dir(spark, "store"), versioned=True)
+    trips = _curated(spark, sf).select("trip_id", "payment_type", "fare_amount")
+    save_table(trips, store, "fares", run="old")
+    save_table(trips.where("trip_id % 2 = 0"), store, "fares", run="even")
+    for _ in range(2):
+        save_table(trips.where("trip_id % 2 = 1"), store, "fares", "append", run="odd")
+    return read_table(spark, store, "fares")
+
+
+def exported_array(spark: SparkSession, sf: str) -> DataFrame:
+    """The revenue table, written as one JSON array and read again."""
+    path = f"{scratch_dir(spark, 'export')}/revenue.json"
+    table = _over(_by_payment, rounded)(spark, sf)
+    export(table, path, "json_array")
+    return spark.read.schema(table.schema).option("multiLine", True).json(path)
+
+
+def unlike_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips from files of three kinds: whole passenger counts, fractional ones, and text with another column."""
+    folder = f"{scratch_dir(spark, 'unlike')}/trips"
+    raw = _raw(spark, sf).select("trip_id", "PULocationID", "fare_amount", "passenger_count")
+    kinds = (
+        raw,
+        raw.withColumn("passenger_count", F.col("passenger_count").cast("double")),
+        raw.withColumn("passenger_count", F.col("passenger_count").cast("string")).withColumn("note", F.lit("text")),
+    )
+    for part, rows in enumerate(kinds):
+        rows.where(F.col("trip_id") % 3 == part).write.mode("append").parquet(folder)
+    return scan_trips(spark, folder)
+
+
+def checked_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """A lookup file in which some rows are broken: those are left out."""
+    path = f"{scratch_dir(spark, 'lookup')}/lookup"
+    names = adapters.zone_lookup(spark, sf)
+    key = F.col("location_id")
+    number = F.when(key % 7 == 0, F.concat(F.lit("no "), key.cast("string"))).otherwise(key.cast("string"))
+    last = F.concat(F.lit(","), "service_zone")
+    ending = F.when(key % 7 == 1, "").when(key % 7 == 2, F.concat(last, F.lit(",more"))).otherwise(last)
+    lines = names.coalesce(1).select(F.concat(F.concat_ws(",", number, "borough", "zone_name"), ending).alias("value"))
+    header = spark.createDataFrame([("LocationID,Borough,Zone,service_zone",)], "value string")
+    header.union(lines).coalesce(1).write.text(path)
+    return read_zone_lookup(spark, path)
+
+
 def _funnel(table: Query) -> Query:
     return _over(table, preprocess.standard_trips, quality.quality_funnel)
 
@@ -321,6 +431,16 @@ QUERIES: dict[str, Query] = {
     # the hourly stream, run to its end, and its batch form
     "stream_hourly_demand": streamed_hours,
     "closed_hours": _over(_fares, closed_hours, rounded),
+    # streams in several batches
+    "stream_hourly_batches": streamed_hours_in_batches,
+    "stream_dedupe_trips": streamed_unique_trips,
+    "stream_zone_names": streamed_zone_names,
+    # files and tables that change
+    "scan_unlike_files": unlike_files,
+    "zone_lookup_checked": checked_lookup,
+    "incremental_curation": curated_in_steps,
+    "stored_table": stored_table,
+    "json_array_export": exported_array,
     # the same jobs on the largest table
     "curated_trips_volume": _over(adapters.trips_volume, preprocess.curate_trips),
     "quality_funnel_volume": _funnel(adapters.trips_volume),

@@ -1,8 +1,7 @@
-"""Demand per clock hour over a trip stream.
+"""Demand per clock hour and duplicate removal over a trip stream.
 
-Event time is the pickup's wall-clock time taken as UTC, whatever the session zone.
-Zones attach to a stream with ``operators.lookup.attach_lookup`` unchanged: the
-lookup is the static side of the join.
+Event time is the pickup's wall-clock time taken as UTC, whatever the session zone. Hours and duplicate
+keys are held as state until the watermark passes them, so state is bounded by the lateness, not by the stream.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tripflow.constants import TIME_COLUMNS
+from tripflow.operators.cleaning import dedupe_keys, dedupe_trips, first_per_key
 from tripflow.operators.demand import demand_measures
 
 LATENESS = "2 hours"
@@ -62,10 +62,29 @@ def closed_hours(trips: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 
 def dedupe_stream(trips: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop repeats of the two trip times that arrive within the lateness.
+    """Of the trips with one pickup and dropoff time, the one that ``dedupe_trips`` keeps.
 
-    The first arrival survives, so unlike ``dedupe_trips`` the choice depends on
-    the order of arrival.
+    The lowest trip of a key so far is the key's state; it is emitted, once, when the watermark passes the
+    pickup. Trips that arrive within the lateness may come in any order and in any batch without changing the
+    result; later ones are dropped. Trips without a pickup time are dropped, as the null rule does.
+    """
+    if dedupe_keys(trips.columns) != list(TIME_COLUMNS):
+        raise ValueError("a stream is deduplicated by its pickup and dropoff times")
+    timed = with_event_time(trips.where(F.col("pickup_datetime").isNotNull())).withWatermark("pickup_ts", lateness)
+    kept = first_per_key(timed, ["pickup_ts", *TIME_COLUMNS])
+    return kept.drop("pickup_ts")
+
+
+def closed_trips(trips: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Batch form: the unique trips a stream over the same trips has emitted."""
+    latest = trips.agg((F.max("pickup_datetime") - F.expr(f"interval {lateness}")).alias("closing")).scalar()
+    return dedupe_trips(trips).where(F.col("pickup_datetime") <= latest)
+
+
+def drop_repeats_stream(trips: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Drop repeats of the two trip times that arrive within the lateness, without waiting for the watermark.
+
+    The first arrival survives, so unlike ``dedupe_stream`` the choice depends on the order of arrival.
     """
     timed = with_event_time(trips).withWatermark("pickup_ts", lateness)
     return timed.dropDuplicatesWithinWatermark(list(TIME_COLUMNS)).drop("pickup_ts")
