@@ -33,7 +33,9 @@ def _rows(spark: SparkSession, path: str, needed: tuple[str, ...], optional: tup
     if missing:
         raise ZoneFileError(f"{path} has no column {', '.join(missing)}")
     fields = [T.StructField(c, T.StringType()) for c in [*header, BROKEN]]
-    rows = spark.read.csv(path, schema=T.StructType(fields), header=True, columnNameOfCorruptRecord=BROKEN)
+    # Without pruning: fields are counted whichever columns are used.
+    reader = spark.read.option("columnPruning", False).option("columnNameOfCorruptRecord", BROKEN)
+    rows = reader.csv(path, schema=T.StructType(fields), header=True)
     absent = [F.lit(None).cast("string").alias(c) for c in optional if c not in header]
     return rows.select(*[column(c) for c in header if c in needed + optional], *absent, BROKEN)
 
