@@ -7,13 +7,12 @@ the whole set: it differs in at most as many bits as the sets have items that
 are not common, so it rules a pair out for certain. Most wrong candidates fall by these before
 texts are compared; the rest is confirmed on the full sets.
 
-Candidates of one band key are never all paired. First every one is compared with the
-bucket's smallest, then, where a bucket still holds several components, with a
-random member of each bucket; only pairs that are in different components after that are looked at singly.
-Two members of one component need no link of their own, so none is lost. Where a bucket still
-has many members then (texts that share a template, but are not similar enough), its pairs are
-not looked at either: similar sets must share one of their rarest shingles, and only members
-that do are paired. This loses no link, whatever counts as rare.
+Candidates of one band key are never paired with each other. Every one is compared with one member of its
+bucket: first with the smallest, then, where a bucket still holds several components, with the
+one that shares most buckets with others, which is the original where a bucket holds its copies. Members
+of buckets that are still mixed then meet by prefix filtering: similar sets share one of their rarest shingles,
+at places that leave room for the common part. Keys that the same members share count once. Only pairs of different
+components that the places and both sketches allow are looked at. This loses no link, whatever counts as rare.
 """
 
 from __future__ import annotations
@@ -41,8 +40,6 @@ SKETCH_BITS = 256
 WHOLE_BITS = 512
 #: Bitmaps of a pair at 0.8 differ in 42 bits, give or take 8; beyond this many (0.55) it is no candidate.
 MOST_BITS = 80
-#: Buckets that have more members after the star turns are split by the members' rarest shingles.
-CROWD = 64
 #: Cells of the histogram that tells how rare a shingle is.
 RARITY_CELLS = 1 << 20
 
@@ -172,7 +169,7 @@ def _tally(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 
 
 def rarest_items(items: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The part of a set in which it meets every set that is similar enough.
+    """The part of a set, rarest first, in which it meets every set that is similar enough.
 
     Similar sets have ``percent`` of either in common. With all shingles in one order, a set
     less all but one of so many shingles must hold a common one; rare shingles come first.
@@ -182,14 +179,20 @@ def rarest_items(items: np.ndarray, counts: np.ndarray, percent: int) -> np.ndar
     return items[order[: len(items) - needed + 1]]
 
 
+_RAREST = "digest binary, label binary, key long, rarity long, place int"
+
+
 def _rarest(batches: Iterator[pa.RecordBatch], shared, size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(digest, key): every text's rarest shingles."""
+    """Every text's rarest shingles, how rare they are, and how many rarer ones the text has."""
     counts = shared.value
     for batch, sets in _sets(batches, size):
-        keys = [rarest_items(items, counts, percent).view(np.int64) for items in sets]
-        rows = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        keys = [rarest_items(items, counts, percent) for items in sets]
+        rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+        flat = np.concatenate(keys)
+        cells = [flat.view(np.int64), counts[_cells(flat)], np.concatenate([np.arange(len(k), dtype=np.int32) for k in keys])]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(rows)), pa.array(np.concatenate(keys))], names=["digest", "key"]
+            [batch.column(0).take(rows), batch.column(1).take(rows), *map(pa.array, cells)],
+            names=["digest", "label", "key", "rarity", "place"],
         )
 
 
@@ -231,7 +234,12 @@ def _mixed_buckets(live: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 def _star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each member with one chosen member of its bucket, where components and sketches allow a new link."""
-    rank = F.col("digest") if turn == 0 else F.xxhash64(F.lit(turn), "key", "digest")
+    rank = F.col("digest")
+    if turn:
+        sizes = members.groupBy("key").agg(F.count("*").alias("_n"))
+        met = members.select("key", "digest").join(sizes, "key").groupBy("digest").agg((-F.sum("_n")).alias("_met"))
+        members = stage(members.join(met, "digest"), "near-met")
+        rank = F.struct("_met", "digest")
     chosen = members.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "digest", "label", *_SKETCH)).alias("_r"))
     return (
         members.join(chosen, "key")
@@ -241,60 +249,55 @@ def _star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     )
 
 
-def _other_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that are still in different components and that sketches allow."""
-    columns = ("key", "digest", "label", *_SKETCH)
-    left, right = (members.select(*[F.col(c).alias(side + c) for c in columns]) for side in ("_l_", "_r_"))
-    other = (F.col("_l_digest") < F.col("_r_digest")) & (F.col("_l_label") != F.col("_r_label"))
-    same = F.col("_l_key") == F.col("_r_key")
-    return (
-        left.join(right, same & other & _may_link("_l_", "_r_", percent))
-        .select(F.col("_l_digest").alias("a"), F.col("_r_digest").alias("b"))
-        .distinct()
-    )
+def _prefix_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of different components that meet in their rarest shingles and that places and sketches allow.
 
-
-def _crowd_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """As `_other_pairs`, for large buckets: pairs that share one of their rarest shingles."""
+    In the first shingle that two sets share, none before it is common: what follows it in either set must be
+    enough. Of the keys that the same members share, the first in the order holds that shingle.
+    """
     nodes = members.groupBy("digest").agg(*[F.min(c).alias(c) for c in ("label", *_SKETCH)])
-    nodes = stage(nodes, "near-crowd")
-    chosen = stage(texts.join(nodes.select("digest"), "digest", "left_semi"), "near-crowd-texts")
+    nodes = stage(nodes, "near-left")
+    chosen = stage(texts.join(nodes.select("digest", "label"), "digest").select("digest", "label", "text"), "near-left-texts")
     tally = map_in_arrow(chosen.select("text"), partial(_tally, size=size), "cell long, n long")
     found = tally.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # one row a cell at most
     counts = np.zeros(RARITY_CELLS, np.int64)
     counts[found["cell"].to_numpy()] = found["n"].to_numpy()
     shared = members.sparkSession.sparkContext.broadcast(counts)
-    rarest = map_in_arrow(
-        chosen.select("digest", "text"), partial(_rarest, shared=shared, size=size, percent=percent), "digest binary, key long"
+    rarest = map_in_arrow(chosen, partial(_rarest, shared=shared, size=size, percent=percent), _RAREST)
+    rarest = stage(rarest, "near-rarest")
+    who = F.xxhash64("digest")
+    unsigned = F.col("key").bitwiseXOR(F.lit(-(2**63))).alias("_key")  # tasks order keys as unsigned numbers
+    same_members = [F.count("*").alias("_n"), F.bit_xor(who).alias("_x"), F.bit_xor(F.xxhash64(who)).alias("_y")]
+    mixed = rarest.groupBy("key").agg(
+        F.min("label").alias("_a"), F.max("label").alias("_b"), F.min("rarity").alias("_rare"), *same_members
     )
-    labelled = stage(rarest.join(nodes.select("digest", "label"), "digest"), "near-rarest")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
-    meeting = labelled.select("digest", "key").join(mixed.select("key"), "key", "left_semi")
-    return _other_pairs(meeting.join(nodes, "digest"), percent)
-
-
-def _last_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int, crowd: int) -> DataFrame:
-    """The pairs that the star turns leave open: small buckets by their members, others by rarest shingles."""
-    large = members.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > crowd).select("key")
-    large = stage(large, "near-large")
-    if large.isEmpty():
-        return _other_pairs(members, percent)
-    few = _other_pairs(members.join(large, "key", "left_anti"), percent)
-    many = _crowd_pairs(members.join(large, "key", "left_semi"), texts, size, percent)
-    return few.unionByName(many).distinct()
-
-
-def near_duplicates(
-    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, crowd: int = CROWD
-) -> DataFrame:
+    firsts = (
+        mixed.where("_a < _b")
+        .groupBy("_n", "_x", "_y")
+        .agg(F.min(F.struct("_rare", unsigned, "key")).alias("_first"))
+        .select("_first.key")
+    )
+    meeting = stage(rarest.join(firsts, "key", "left_semi").join(nodes.drop("label"), "digest"), "near-meeting")
+    columns = ("key", "digest", "label", "place", *_SKETCH)
+    left, right = (meeting.select(*[F.col(c).alias(side + c) for c in columns]) for side in ("_l_", "_r_"))
+    other = (F.col("_l_digest") < F.col("_r_digest")) & (F.col("_l_label") != F.col("_r_label"))
+    most_common = F.least(*[F.col(f"{side}n_shingles") - F.col(f"{side}place") for side in ("_l_", "_r_")])
+    room = most_common * (100 + percent) >= (F.col("_l_n_shingles") + F.col("_r_n_shingles")) * percent
+    return (
+        left.join(right, (F.col("_l_key") == F.col("_r_key")) & other & room & _may_link("_l_", "_r_", percent))
+        .select(F.col("_l_digest").alias("a"), F.col("_r_digest").alias("b"))
+        .distinct()
+    )
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(_dk, _tk, n_shingles, component_id, _group): one row per row of ``docs``, see `row_key`.
 
     Texts are linked if 100 times the common shingles are at least ``percent`` times
     all shingles; ``component_id`` is the smallest doc_id (NULL last) that links reach.
     NULL texts and texts without words are linked with nothing. Rows equal in
     doc_id and text are one document. ``_group`` tells components apart also where ids are
-    NULL or repeated, and is NULL for texts without words. ``crowd`` sets how pairs are
-    found, not which.
+    NULL or repeated, and is NULL for texts without words. Whole texts of any length are compared.
     """
     signed = stage(signatures(docs, size), "near-signed")
     full = signed.where("digest IS NOT NULL")
@@ -325,7 +328,7 @@ def near_duplicates(
         if turn < 2:
             pairs = _star_pairs(members, turn, percent)
         else:
-            pairs = _last_pairs(members, texts, size, percent, crowd)
+            pairs = _prefix_pairs(members, texts, size, percent)
         edges = stage(verify_pairs(stage(pairs, "near-pairs"), texts, size, percent), "near-edges")
         comps = _merge(comps, edges)
     labelled = (
@@ -367,9 +370,7 @@ def _merge(comps: DataFrame | None, edges: DataFrame) -> DataFrame:
     return stage(known.unionByName(added), "near-components")
 
 
-def mark_near_duplicates(
-    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, crowd: int = CROWD
-) -> DataFrame:
+def mark_near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Documents with ``n_shingles``, ``component_id`` and ``kept`` (the component's smallest doc_id).
 
     NULL doc_ids stand after all others; a component of NULL ids only has a NULL id. ``kept``
@@ -380,7 +381,7 @@ def mark_near_duplicates(
     with a result's name are replaced.
     """
     base = replace_columns(docs, ["n_shingles", "component_id", "kept", "_dk", "_tk"])
-    found = near_duplicates(docs, size, percent, crowd).drop("_group").dropDuplicates(["_dk", "_tk"])
+    found = near_duplicates(docs, size, percent).drop("_group").dropDuplicates(["_dk", "_tk"])
     joined = base.select("*", *row_key()).join(found, ["_dk", "_tk"])
     own = F.col("component_id") == F.col("_dk")
     last = F.lit(2**63 - 1)
@@ -392,16 +393,14 @@ def mark_near_duplicates(
     )
 
 
-def one_of_each_group(
-    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, crowd: int = CROWD
-) -> DataFrame:
+def one_of_each_group(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each group of near duplicates; texts without words are in no group, all their rows stay.
 
     A group is a component of texts, whatever ids its rows have: the row of the smallest
     doc_id (NULL last) stays, of several such texts the one with the smallest hash, and of rows equal
     in doc_id and text the one whose other columns have the smallest hash.
     """
-    found = near_duplicates(docs, size, percent, crowd)
+    found = near_duplicates(docs, size, percent)
     texts = stage(found.groupBy("_group", "_dk", "_tk").agg(F.count("*").alias("_n")), "near-places")
     firsts = texts.where("_group IS NOT NULL").groupBy("_group").agg(F.min(F.struct("_dk", "_tk", "_n")).alias("_row"))
     wordless = texts.where("_group IS NULL").select("_dk", "_tk", F.lit(1).cast("long").alias("_n"))
