@@ -5,8 +5,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import re
 import uuid
 import zlib
+from collections import Counter
 from itertools import groupby
 
 import numpy as np
@@ -264,14 +266,89 @@ def test_many_ranges(spark, monkeypatch):
         assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
 
 
+def pieces(text):
+    """Plain cut of a text: the k-th equal piece counts on its own."""
+    seen, out = {}, set()
+    for piece in re.findall(r"[^\n.!?]{1,48}[\n.!?]*|[\n.!?]+", text):
+        seen[piece] = seen.get(piece, 0) + 1
+        out.add((piece, seen[piece]))
+    return out
+
+
+def like(a, b):
+    x, y = pieces(a), pieces(b)
+    return 2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0
+
+
+def test_likeness_is_that_of_the_digest_sets(given, spark):
+    got = {r.doc_id: r for r in QUERIES["op5_fingerprints"](spark, "/root/testdata/sf0.001").collect()}
+    ids = sorted(given, reverse=True)
+    for i, after in zip(ids, ids[1:] + ids[:1], strict=True):
+        text, other = given[i].text, given[after].text
+        third = len(text) // 3
+        assert got[i].near_edited == pytest.approx(like(text, text[: len(text) - third] + other[:third]))
+        assert got[i].near_next == pytest.approx(like(text, other))
+        assert int(got[i].fingerprint.partition(":")[0], 16) == len(pieces(text))
+
+
+ODD_TEXTS = ["", "\n", "...a", "a" * 48, "a" * 48 + ".", "a" * 100 + "!?\n\nb", "ä." * 70, "😀" * 97 + "\n\r.", ". . .", "x.y.x.y.x."]
+
+
+def test_pieces_of_odd_texts(monkeypatch):
+    longer = ["".join(ODD_TEXTS) * 40, "?" * 5000 + "b" * 3000, "c" * 9000, "d.\n" * 3000]
+    want = [sorted(p for p, _ in pieces(t)) for t in ODD_TEXTS + longer]
+    monkeypatch.setattr(fingerprints, "_BLOCK_CHARS", 700)
+    texts = ODD_TEXTS + longer
+    sketches = fingerprints.Sketches(texts)
+    assert sketches.counts.tolist() == [len(w) for w in want]
+    for a in range(len(texts)):
+        for b in range(len(texts)):
+            found = sketches.likeness(np.array([a]), np.array([b]))
+            assert found[0] == pytest.approx(like(texts[a], texts[b]))
+
+
+def test_published_tables_hold_small_differences():
+    """What two fingerprints give by themselves, and that larger differences don't fit."""
+    words = [f"word{i}." for i in range(200)]
+    texts = [" ".join(words)] + [" ".join([*words[:i], "x" + words[i], *words[i + 1 :]]) for i in range(1, 60)] + [" ".join(words[90:])]
+    sketches = fingerprints.Sketches(texts)
+    others = np.arange(1, len(texts))
+    peeled = fingerprints.peel(sketches.differences(np.zeros(len(others), int), others, fingerprints.CELLS), fingerprints.CELLS)
+    assert set(peeled[:-1]) <= {2, -1} and (peeled[:-1] == 2).mean() > 0.9 and peeled[-1] == -1
+    assert sketches.likeness(np.zeros(len(others), int), others) == pytest.approx([like(texts[0], t) for t in texts[1:]])
+
+
 def test_peeling_recovers_the_difference():
     rng = np.random.default_rng(5)
     shared = rng.integers(0, 2**63, 500).astype(np.uint64)
     left = np.concatenate((shared, rng.integers(0, 2**63, 30).astype(np.uint64)))
     right = np.concatenate((shared, rng.integers(0, 2**63, 10).astype(np.uint64)))
-    assert fingerprints.peel(fingerprints.build_table(left, 192) - fingerprints.build_table(right, 192)) == (30, 10)
-    a, b = fingerprints.Sketch(left), fingerprints.Sketch(right)
-    assert fingerprints.likeness(a, b) == pytest.approx(1000 / 1040)  # the first tables are too small
+    tables = np.zeros((2, 3, 192), np.uint64)
+    for table, items in zip(tables, (left, right), strict=True):
+        fingerprints.add_items(table, np.zeros(len(items), int), items, 192)
+    assert fingerprints.peel(tables[0] - tables[1], 192).tolist() == [40]
+
+
+def test_hot_and_extreme_ids_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 4)
+    rows = [(None, f"null {i}. " * 9) for i in range(30)] + [(7, f"hot {i}") for i in range(25)]
+    rows += [(-(2**63), "least"), (2**63 - 1, "most"), (-(2**63), "least too"), (0, "zero"), (7, "hot 1"), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprints.compare_with_edits(table.repartition(3)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    edits = {(r.doc_id, r.edited_sha256) for r in got}
+
+    def edited(text, after):
+        third = len(text) // 3
+        return hashlib.sha256((text[: len(text) - third] + after[:third]).encode()).hexdigest()
+
+    # Where both neighbours are alone with their ids, the next document is known.
+    assert (0, edited("zero", "least")) in edits or (0, edited("zero", "least too")) in edits
+    assert any((2**63 - 1, edited("most", t)) in edits for i, t in rows if i == 7)
+    lasts = {edited(a, b or "") for a in ("least", "least too") for i, b in rows if i is None}
+    assert sum(r.doc_id == -(2**63) and r.edited_sha256 in lasts for r in got) >= 1
+    again = fingerprints.compare_with_edits(table).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
 
 
 # ---- languages
