@@ -29,6 +29,8 @@ ORDER, CLASSES = 4, 32
 CODES, CODE_BITS = 0x110000, 21
 #: The characters before a gram's last, for grams of four to one characters.
 MASKS = [U64((1 << (CODE_BITS * k)) - 1) for k in range(ORDER - 1, -1, -1)]
+#: Tells marks from letters, above all code points.
+MARK = 1 << 31
 UNDETERMINED = "und"
 #: Texts with fewer letters are never rejected for their entropy.
 MIN_LETTERS = 20
@@ -45,18 +47,29 @@ SCORE_CHARS = 100
 
 @cache
 def _characters() -> np.ndarray:
-    """The lower-case character of every code point; 0 for what is neither letter nor mark."""
+    """The lower-case character of every code point, with a bit set for marks; 0 for what is neither letter nor mark."""
     table = np.zeros(CODES, np.uint32)
     for code in range(CODES):
         char = chr(code)
-        if unicodedata.category(char)[0] in "LM":
-            table[code] = ord(char.lower()[0])
+        kind = unicodedata.category(char)[0]
+        if kind in "LM":
+            table[code] = ord(char.lower()[0]) | (MARK if kind == "M" else 0)
     return table
 
 
+def _read(text: str) -> np.ndarray:
+    return _characters()[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+
+
+def letter_count(text: str) -> int:
+    """The letters of a text; marks that stand on none are no letters."""
+    chars = _read(text)
+    return int(np.count_nonzero((chars > 0) & (chars < MARK)))
+
+
 def text_grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The three characters before and the character, for each letter or gap; gaps of any length are one."""
-    chars = _characters()[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+    """The three characters before and the character, for each letter, mark or gap; gaps of any length are one."""
+    chars = _read(text) & np.uint32(MARK - 1)
     filled = chars != 0
     keep = filled.copy()
     keep[1:] |= filled[:-1]
@@ -255,7 +268,7 @@ def _text_logs(grams: list[tuple[np.ndarray, np.ndarray]], models: Models) -> np
 
 def _best(texts: list[str | None], models: Models) -> list[tuple[str, float, float | None, int]]:
     grams = [text_grams(t or "") for t in texts]
-    letters = [int(np.count_nonzero(last)) for _, last in grams]
+    letters = [letter_count(t or "") for t in texts]
     found: list = [(UNDETERMINED, 0.0, None, n) for n in letters]
     judged = [i for i, n in enumerate(letters) if n and models.langs]
     if judged:
