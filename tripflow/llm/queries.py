@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import column_or_null
+from tripflow.llm.common import column_or_null, shared_dir
 from tripflow.llm.fingerprints import compare_with_edits
 from tripflow.llm.identifiers import find_identifiers
 from tripflow.llm.language_id import identify_languages
@@ -19,7 +19,7 @@ from tripflow.llm.oracle import ORACLES
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.quality_rules import apply_rules
 from tripflow.llm.resampling import resample
-from tripflow.llm.sharding import shard_documents
+from tripflow.llm.sharding import read_shards, record_size, shard_documents, write_shards
 from tripflow.llm.suffix_dedup import remove_repeats
 from tripflow.llm.warc import archive_path, read_archive, write_archive
 from tripflow.llm.whitening import whiten
@@ -72,12 +72,15 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards are written, and everything but the law is derived from the files that are read back."""
     sharded = shard_documents(_documents(spark, sf_dir).select("doc_id", "text"))
-    checksum = F.crc32(F.coalesce(column_or_null(sharded, "text", "string"), F.lit("")))
-    return sharded.select(
+    path = f"{shared_dir(spark).rstrip('/')}/tripflow/shards-{uuid.uuid4().hex}"
+    write_shards(sharded, path)
+    written = read_shards(spark, path, sharded.schema)
+    return written.select(
         "doc_id",
-        "size",
-        checksum.alias("text_crc32"),
+        record_size(written).alias("size"),
+        F.crc32(F.coalesce(column_or_null(written, "text", "string"), F.lit(""))).alias("text_crc32"),
         F.lit("rows").alias("law"),
         "shard",
         "slot",

@@ -7,9 +7,9 @@ it, and the shuffled whole is cut into shards whose row counts differ by one at
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
+from pyspark.sql.types import AtomicType, StructType
 
 from tripflow.llm.common import column_or_null, offsets_before, replace_columns, stage
 
@@ -81,5 +81,14 @@ def _has_map(kind) -> bool:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows in slot order."""
-    sharded.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """One folder per shard; every file of it holds rows in slot order.
+
+    The shuffled buckets are written by the tasks that hold them, each bucket to the one or two shards it lies
+    in: rows don't move again, and a shard is written by as many tasks as it has buckets.
+    """
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of written shards, with the columns of ``schema`` in its order."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
