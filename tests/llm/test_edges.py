@@ -199,3 +199,36 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     back = {c: [r for r in got.collect() if r.text and r.text.startswith(c)] for c in "pqrst"}
     assert {c: [r.doc_id for r in rs] for c, rs in back.items()} == {"p": [None], "q": [None], "r": [7], "s": [8], "t": [8]}
     assert got.count() == 5 + 4
+
+
+def test_pipeline_keeps_the_values_of_other_columns(spark):
+    """Columns with the names that stages use for themselves come out as they went in."""
+    names = ("deleted", "cuts", "score", "bits", "letters", "rejected", "held_out", "lang_pred", "n_lines", "n_deleted", "size", "copies", "taken", "target", "_row", "_kept", "_scored", "_dk", "_hash")
+    rows = [(i, f"some words of text number {i} are here\nand a second line of it", "en", f"s{i % 2}", None) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in names})
+    before = docs
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        before = function(spark, before, "")
+        assert before.columns == docs.columns, name
+        for row in before.collect():
+            assert all(row[c] == f"{c} {row.doc_id}" for c in names), name
+    assert before.count() > 0
+
+
+@pytest.mark.parametrize("text", ["\u0301\u0301", "\u0301 12 \u0308!", "123", "!?", " \u200d "])
+def test_texts_without_letters_have_no_language(spark, text):
+    rows = [(i, f"some text of words {i} that is learned", "en", None, 0) for i in range(30)] + [(100, text, "en", None, 0)]
+    got = {r.doc_id: r for r in language_id.identify_languages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got[100].lang_pred, got[100].score, got[100].letters, got[100].rejected) == ("und", 0.0, 0, True)
+    assert got[1].lang_pred == "en" and language_id.letter_count("a\u0301\u00e9") == 2
+
+
+def test_a_language_without_labels_is_rejected(spark):
+    """Each language in turn is not learned: its held-out texts are rejected, those of the others are not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 200")
+    for hidden in ("de", "en"):
+        known = docs.withColumn("truth", F.col("lang")).withColumn("lang", F.when(F.col("lang") != hidden, F.col("lang")))
+        rows = language_id.identify_languages(known, keep=["truth"]).where("held_out").collect()
+        gone = [r.rejected for r in rows if r.truth == hidden]
+        assert np.mean(gone) > 0.85 and not any(r.rejected for r in rows if r.truth != hidden)

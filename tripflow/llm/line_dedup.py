@@ -69,7 +69,7 @@ _RUNS = "array<struct<at:int,lines:int,print:bigint,d1:bigint,d2:bigint>>"
 
 
 def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_LINE_WORDS) -> DataFrame:
-    """(_dk, _tk, deleted): per document with repeats, the numbers of the lines to delete."""
+    """(_dk, _tk, _deleted): per document with repeats, the numbers of the lines to delete."""
     once = docs.select(*row_key(), column_or_null(docs, "text", "string").alias("_text"))
     runs = stage(candidate_runs(once, window, long_words), "line-runs")
     # A fingerprint is repeated if two places have it; rows equal in id and text are one place.
@@ -91,7 +91,7 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG
     return later.groupBy("_dk", "_tk").agg(
         F.array_distinct(
             F.flatten(F.collect_set(F.sequence(F.col("at"), F.col("at") + F.col("lines") - 1)))
-        ).alias("deleted")
+        ).alias("_deleted")
     )
 
 
@@ -107,7 +107,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_LI
     treated alike. ``n_chars``, if there, follows the text. An empty table gives no
     rows; input columns with a result's name are replaced.
     """
-    base = replace_columns(docs, ["n_lines", "n_deleted", "deleted", "_dk", "_tk", "_ls"])
+    base = replace_columns(docs, ["n_lines", "n_deleted", "_deleted", "_dk", "_tk", "_ls"])
     gone = repeated_lines(docs, window, long_words)
     lines = _lines(F.col("text"))
     joined = base.select("*", *row_key()).join(gone, ["_dk", "_tk"], "left").withColumn("_ls", lines)
@@ -115,16 +115,16 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_LI
 
     def without(ls: Column) -> Column:
         """The lines but for the deleted; the work grows with the lines alone, however many are deleted."""
-        numbers = F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "deleted")
+        numbers = F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "_deleted")
         return F.array_join(F.transform(numbers, lambda i: F.get(ls, i)), "\n")
 
     kept = bind(held, without)
-    text = F.when(F.col("deleted").isNull(), F.col("text")).otherwise(kept)
+    text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(kept)
     result = joined.select(
         *[c for c in base.columns if c != "text"],
         text.alias("text"),
         F.size(held).cast("long").alias("n_lines"),
-        F.coalesce(F.size("deleted"), F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce(F.size("_deleted"), F.lit(0)).cast("long").alias("n_deleted"),
     )
     if "n_chars" in base.columns:
         result = result.withColumn("n_chars", F.length("text").cast(base.schema["n_chars"].dataType))

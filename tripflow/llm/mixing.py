@@ -154,19 +154,19 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, repeats=MAX_REPEA
     hash and are taken alike. An empty table gives no rows; input columns with a
     result's name are replaced.
     """
-    names = ["size", "source_size", "target", "copies", "taken", "_hash", "_sk", "cuts"]
+    names = ["size", "source_size", "target", "copies", "taken", "_hash", "_sk", "_cuts"]
     base = replace_columns(docs, names)
     size = word_count(column_or_null(docs, "text", "string"))
     key = column_or_null(docs, "source", "string")
     small = docs.select(key.alias("source"), size.alias("size"), mix_hash(docs, seed).alias("hash"))
-    plan = mix_thresholds(stage(small, "mix-sizes"), weights, share, repeats).drop("source")
+    plan = mix_thresholds(stage(small, "mix-sizes"), weights, share, repeats).drop("source").withColumnRenamed("cuts", "_cuts")
     marked = base.withColumns({"size": size, "_hash": mix_hash(docs, seed), "_sk": source_key(key)})
-    copies = F.size(F.filter("cuts", lambda cut: cut >= F.col("_hash")))
+    copies = F.size(F.filter("_cuts", lambda cut: cut >= F.col("_hash")))
     return (
         marked.join(plan, "_sk", "left")
         .withColumn("copies", copies)
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_hash", "_sk", "cuts")
+        .drop("_hash", "_sk", "_cuts")
     )
 
 
