@@ -23,14 +23,26 @@ from tripflow.llm.packing import pack_documents
 SHINGLE_WORDS, PERCENT = 5, 80
 
 
+def _packed(docs: DataFrame, used: tuple[str, ...]) -> DataFrame:
+    """The columns that a stage works on, and all columns as one, out of the way of the stage's own names."""
+    return docs.select(*[c for c in used if c in docs.columns], F.struct(*docs.columns).alias("_row"))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; rejected ones go."""
-    return identify_languages(docs, keep=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+    judged = identify_languages(_packed(docs, ("doc_id", "text", "lang")), keep=["_row"])
+    return judged.where(~F.col("rejected")).select("_row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the line runs that an earlier document has; none is dropped."""
-    return dedup_lines(docs).select(*docs.columns)
+    changed = ("text", "n_chars")
+    others = [c for c in docs.columns if c not in changed]
+    packed = docs.select(
+        *[c for c in ("doc_id", *changed) if c in docs.columns], F.struct(*others).alias("_row")
+    )
+    cleaned = dedup_lines(packed)
+    return cleaned.select(*[F.col(c) if c in changed else F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,8 +72,9 @@ def test_boxes_are_matched_without_moving_trips(spark, trip_file, small):
     trips = standardize_columns(trip_file)
     matched = attach_boxes(trips, adapters.zone_boxes(spark, small), "pickup")
     text = plan(matched)
-    assert "BroadcastHashJoin Inner" in text
-    assert exchanges(text) == 1  # the cells, before their broadcast
+    assert "Join" not in text and exchanges(text) == 0
+    many = plan(attach_boxes(trips, adapters.many_boxes(spark, "/root/testdata/sf0.01"), "pickup"))
+    assert "BroadcastHashJoin Inner" in many
 
 
 def test_groupings_share_one_aggregation(spark, trip_file):
