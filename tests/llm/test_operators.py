@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tests.llm import plain
 from tripflow.llm import fingerprints, line_dedup, mixing, near_dedup, packing, quality_rules, sharding, suffix_dedup, warc
 from tripflow.llm.bytestext import shingles, word_hashes
+from tripflow.llm.common import row_key
 from tripflow.llm.components import connected_components
 from tripflow.llm.language_id import identify_languages, kneser_ney, smooth
 from tripflow.llm.queries import QUERIES
@@ -133,6 +134,26 @@ def test_damaged_payload_is_noticed(spark, tmp_path):
         warc.read_archive(spark, bad).collect()
 
 
+def test_fingerprints_are_fewer_than_windows(spark):
+    rng = random.Random(2)
+    rows = [(i, "\n".join(f"line {rng.randrange(10**6)}" for _ in range(50))) for i in range(20)]
+    once = documents(spark, rows).select(*row_key(), F.col("text").alias("_text"))
+    for window, share in ((2, 0.75), (5, 0.42)):
+        places = line_dedup.fingerprint_places(once, window, 20)
+        assert 0.5 * share * 20 * 50 < places.count() < share * 20 * (51 - window)
+        runs = line_dedup.extended_runs(places, window).select("_dk", "at", "lines").collect()
+        assert sorted(map(tuple, runs)) == [(i, k, window) for i in range(20) for k in range(51 - window)]
+
+
+@pytest.mark.parametrize("window", [2, 3, 5])
+def test_runs_of_any_window_equal_the_plain_version(spark, window):
+    rng = random.Random(window)
+    stock = [f"line {k}" for k in range(6)] + ["", "a long line of words " * 6]
+    rows = [(i, "\n".join(rng.choice(stock) for _ in range(rng.randrange(14)))) for i in range(60)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows), window=window).collect()}
+    assert got == plain.dedup_lines(rows, window, line_dedup.LONG_LINE_WORDS)
+
+
 # ---- near duplicates
 
 

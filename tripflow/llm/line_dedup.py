@@ -1,10 +1,11 @@
 """Line dedup by winnowing over line hashes.
 
-A document is the sequence of its lines that hold a word. Of every two neighbouring
-lines the one with the smaller hash is a fingerprint, so any run of two or more lines
+A document is the sequence of its lines that hold a word. Of every window of neighbouring
+lines the one with the smallest hash is a fingerprint, so any run of so many lines
 that two places share has a fingerprint in common; a line of many words is a
-fingerprint by itself. Only places whose fingerprint occurs again are joined and
-extended by the lines on both sides, and of equal runs all but the first are deleted.
+fingerprint by itself. Only the places of fingerprints are kept, with the lines next to them. Places
+whose fingerprint occurs again are joined and extended both ways to the windows that
+selected it, and of equal runs all but the first are deleted.
 """
 
 from __future__ import annotations
@@ -28,12 +29,16 @@ def _holds_word(line: Column) -> Column:
     return F.length(F.translate(line, " \t\n\x0b\f\r", "")) > 0
 
 
-def candidate_runs(docs: DataFrame, window: int, long_words: int) -> DataFrame:
-    """(_dk, _tk, at, lines, print, digest): the runs that may be deleted, each with its fingerprint.
+def _lowest(part: Column) -> Column:
+    """The place of the smallest hash in a window, the first of equal ones."""
+    return F.array_min(F.transform(part, lambda x, i: F.struct(x["a"], i.alias("i"))))["i"]
 
-    Runs are the windows of ``window`` lines and the long lines. ``at`` counts the lines
-    that hold a word; ``print`` is the smallest line hash of the run (winnowing: equal
-    runs select equal fingerprints) and ``digest`` identifies the lines (128 bits).
+
+def fingerprint_places(docs: DataFrame, window: int, long_words: int) -> DataFrame:
+    """(_dk, _tk, at, print, near, own): the places of all fingerprints.
+
+    ``at`` counts the lines that hold a word and ``print`` is the line's hash. ``near`` are the lines
+    that share a window with it, as two hashes each (128 bits) and whether they are long; ``own`` is its place there.
     """
     hashed = F.transform(
         F.filter(_lines(F.col("_text")), _holds_word),
@@ -44,43 +49,60 @@ def candidate_runs(docs: DataFrame, window: int, long_words: int) -> DataFrame:
         ),
     )
 
-    def runs(ls: Column) -> Column:
-        def one(i: Column, n: int) -> Column:
-            part = F.slice(ls, i + 1, n)
+    def places(ls: Column) -> Column:
+        last = F.size(ls) - window
+        minima = F.transform(F.sequence(F.lit(0), last), lambda i: i + _lowest(F.slice(ls, i + 1, window)))
+        singles = F.filter(F.transform(ls, lambda x, i: F.when(x["long"], i)), lambda i: i.isNotNull())
+        chosen = F.array_distinct(F.concat(F.when(last >= 0, minima).otherwise(F.array().cast("array<int>")), singles))
+
+        def one(i: Column) -> Column:
+            low = F.greatest(i - (window - 1), F.lit(0))
             return F.struct(
                 i.alias("at"),
-                F.lit(n).alias("lines"),
-                F.array_min(F.transform(part, lambda x: x["a"])).alias("print"),
-                F.xxhash64(F.transform(part, lambda x: x["a"])).alias("d1"),
-                F.xxhash64(F.transform(part, lambda x: x["b"])).alias("d2"),
+                F.get(ls, i)["a"].alias("print"),
+                F.slice(ls, low + 1, i - low + window).alias("near"),
+                (i - low).alias("own"),
             )
 
-        last = F.size(ls) - window
-        windows = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: one(i, window)))
-        singles = F.filter(
-            F.transform(ls, lambda x, i: F.when(x["long"], one(i, 1))), lambda r: r.isNotNull()
-        )
-        return F.concat(F.coalesce(windows, F.array().cast(_RUNS)), singles)
+        return F.transform(chosen, one)
+
+    return docs.select("_dk", "_tk", F.explode(bind(hashed, places)).alias("place")).select("_dk", "_tk", "place.*")
 
-    return docs.select("_dk", "_tk", F.explode(bind(hashed, runs)).alias("run")).select("_dk", "_tk", "run.*")
 
+def extended_runs(places: DataFrame, window: int) -> DataFrame:
+    """(_dk, _tk, at, lines, d1, d2): the windows that selected each place, and long lines, with their lines' digests."""
+
+    def one(start: Column, n: int) -> Column:
+        part = F.slice("near", start + 1, n)
+        return F.struct(
+            (F.col("at") - F.col("own") + start).alias("at"),
+            F.lit(n).alias("lines"),
+            F.xxhash64(F.transform(part, lambda x: x["a"])).alias("d1"),
+            F.xxhash64(F.transform(part, lambda x: x["b"])).alias("d2"),
+        )
 
-_RUNS = "array<struct<at:int,lines:int,print:bigint,d1:bigint,d2:bigint>>"
+    own, size = F.col("own"), F.size("near")
+    starts = F.sequence(F.greatest(own - (window - 1), F.lit(0)), F.least(own, size - window))
+    selecting = F.filter(starts, lambda i: i + _lowest(F.slice("near", i + 1, window)) == own)
+    none = F.array().cast("array<struct<at:int,lines:int,d1:bigint,d2:bigint>>")
+    windows = F.when(size >= window, F.transform(selecting, lambda i: one(i, window))).otherwise(none)
+    single = F.when(F.get("near", own)["long"], F.array(one(own, 1))).otherwise(none)
+    return places.select("_dk", "_tk", F.explode(F.concat(windows, single)).alias("run")).select("_dk", "_tk", "run.*")
 
 
 def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_LINE_WORDS) -> DataFrame:
     """(_dk, _tk, _deleted): per document with repeats, the numbers of the lines to delete."""
     once = docs.select(*row_key(), column_or_null(docs, "text", "string").alias("_text"))
-    runs = stage(candidate_runs(once, window, long_words), "line-runs")
+    found = stage(fingerprint_places(once, window, long_words), "line-places")
     # A fingerprint is repeated if two places have it; rows equal in id and text are one place.
     places = F.struct("_dk", "_tk", "at")
     prints = (
-        runs.groupBy("print")
+        found.groupBy("print")
         .agg(F.min(places).alias("_least"), F.max(places).alias("_most"))
         .where("_least < _most")
         .select("print")
     )
-    near = runs.join(prints, "print", "left_semi")
+    near = extended_runs(found.join(prints, "print", "left_semi"), window)
     first = (
         near.groupBy("lines", "d1", "d2")
         .agg(F.min(places).alias("_first"), F.max(places).alias("_last"))
