@@ -19,14 +19,16 @@ LAST_ID = 2**63 - 1
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where neither that setting nor a checkpoint folder of the context exists (a
-    local test session), a temporary folder is set for the session.
+    Where neither that setting nor a checkpoint folder of the context exists, a local
+    session gets a temporary folder; on a cluster, whose machines would not share it, that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tripflow-"))
     return context.getCheckpointDir()
 
