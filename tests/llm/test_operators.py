@@ -562,14 +562,76 @@ def test_pieces_put_together_are_the_documents(given, spark):
     assert set(lengths[:-1]) == {1024} and 0 < lengths[-1] <= 1024
 
 
+def dealt(deal, totals, step, window=1024):
+    """Tokens by window and source, and the documents' pieces, which fill every place once."""
+    places, mixture, pieces = [], {}, []
+    for source, total in totals.items():
+        first = np.arange(0, total, step)
+        n = np.minimum(first + step, total) - first
+        row, start, length, place = deal.pieces(source, first, n, window)
+        assert np.bincount(row, length, len(first)).astype(int).tolist() == n.tolist()
+        assert (place // window == (place + length - 1) // window).all()
+        places += list(zip(place.tolist(), length.tolist(), strict=True))
+        pieces += list(zip([source] * len(row), row.tolist(), start.tolist(), place.tolist(), strict=True))
+        for w, k in zip((place // window).tolist(), length.tolist(), strict=True):
+            mixture.setdefault(w, {}).setdefault(source, 0)
+            mixture[w][source] += k
+    end = 0
+    for place, length in sorted(places):
+        assert place == end
+        end += length
+    assert end == sum(totals.values())
+    return mixture, pieces
+
+
 def test_every_window_has_the_mixture():
     totals = {"a": 700_000, "b": 200_000, "c": 90_000, "d": 10_000, "e": 5}
-    deal = packing.Deal.of(totals, 256)
-    places = {s: [deal.slot(s, k) for k in range(n)] for s, n in deal.whole.items()}
-    everywhere = sorted(p for ps in places.values() for p in ps)
-    assert everywhere == list(range(len(everywhere)))
-    for s, ps in places.items():
-        assert ps == sorted(ps)
-        for x in range(0, len(everywhere), 4):
-            served = sum(p < x for p in ps)
-            assert abs(served - x * deal.whole[s] / len(everywhere)) < 3
+    mixture, _ = dealt(packing.Deal.of(totals, packing.QUANTUM), totals, 777)
+    served = dict.fromkeys(totals, 0)
+    for w in range(sum(totals.values()) // 1024 - 1):
+        for s, total in totals.items():
+            due = 1024 * total / sum(totals.values())
+            assert abs(mixture[w].get(s, 0) - due) <= 3 * packing.QUANTUM
+            served[s] += mixture[w].get(s, 0)
+            # The deficit is carried on, it does not add up.
+            assert abs(served[s] - (w + 1) * due) <= 3 * packing.QUANTUM
+
+
+def test_windows_follow_given_proportions_until_a_source_ends():
+    totals = {"a": 40_000, "b": 100_000, "c": 9_000, "d": 3_000}
+    mixture, _ = dealt(packing.Deal.of(totals, 4, {"a": 0.5, "b": 0.25, "c": 0.25, "x": 3}), totals, 500)
+    ends = 9_000 * 4 // 1024
+    assert all(abs(mixture[w][s] - n) <= 12 for w in range(ends) for s, n in (("a", 512), ("b", 256), ("c", 256)))
+    assert all("d" not in mixture[w] for w in range(ends))
+    # c has ended, a and b go on two to one; then b; then d.
+    later = range(ends + 2, (9_000 + 40_000 + 20_000) // 1024 - 1)
+    assert all(abs(mixture[w]["a"] - 683) <= 12 and set(mixture[w]) == {"a", "b"} for w in later)
+    assert set(mixture[max(mixture)]) == {"d"}
+
+
+def test_places_are_exact_beyond_products_of_64_bits(monkeypatch):
+    totals = {"a": 5_003, "b": 40_000, "c": 777, "d": 1}
+    expected = dealt(packing.Deal.of(totals, 4), totals, 90)
+    monkeypatch.setattr(packing.Phase, "whole", lambda self, values: values.astype(object))
+    assert dealt(packing.Deal.of(totals, 4), totals, 90) == expected
+    monkeypatch.undo()
+    vast = {f"s{k}": 10**13 + k * 10**11 for k in range(20)}
+    deal = packing.Deal.of(vast, 4)
+    _, start, length, place = deal.pieces("s3", np.array([5 * 10**12]), np.array([5_000]), 1024)
+    assert length.sum() == 5_000 and start.tolist() == np.cumsum([0, *length[:-1]]).tolist()
+    assert (np.diff(place // 1024) == 1).all() and abs(place[0] / (5 * 10**12) - sum(vast.values()) / vast["s3"]) < 1e-6
+
+
+def test_documents_are_packed_in_given_proportions(spark):
+    rows = [(i, f"word {i} " * (20 + i % 7), "ab"[i % 2] if i % 5 else None) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack_documents(docs, window=128, shares={"a": 1, "b": 2, None: 1}).collect()
+    source = {i: s for i, _, s in rows}
+    mixture = {}
+    for r in pieces:
+        mixture.setdefault(r.sequence_id, Counter())[source[r.doc_id]] += r.length
+    both = {s: sum(r.length for r in pieces if source[r.doc_id] == s) for s in ("a", "b", None)}
+    ends = int(min(both["a"], both["b"] / 2, both[None]) * 4 // 128)
+    assert ends > 50
+    assert all(abs(mixture[w]["b"] - 64) <= 8 and abs(mixture[w][None] - 32) <= 8 for w in range(ends))
+    assert sum(both.values()) == sum(packing.pack_documents(docs, window=128).select("length").toPandas()["length"])

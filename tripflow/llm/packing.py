@@ -1,10 +1,10 @@
 """Mixture-controlled packing into windows of fixed length.
 
-Every source is a queue of tokens, cut into quanta. Deficit round-robin deals the
-quanta so that each source has at any time, to within rounding, its share of what was
-dealt: a source's unserved share is carried on to the next window. The
-dealing order has a closed form (nested two-way rounding, see `Deal`), so every partition
-knows what was carried over into its own part, and nothing is dealt one after the other.
+Every source is a queue of tokens. Deficit round-robin fills each window from all queues: a source is due
+its target proportion of the window, gets it in whole units of a few tokens, and what it lacks or
+has too much is carried on to the next window. The carried deficits have a
+closed form (nested two-way rounding, see `Phase`), so every partition knows what was carried over into its own
+part, and nothing is dealt one after the other.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import cache, partial
 
 import numpy as np
@@ -26,8 +27,9 @@ from pyspark.sql.window import Window
 from tripflow.llm.common import column_or_null, map_in_arrow, offsets_before, row_key, source_key, stage
 
 WINDOW = 1024
-#: Tokens a source is served at a time; divides the window.
-QUANTUM = 256
+#: Tokens of the units that a source is served in; divides the window. No window has more pieces of
+#: documents that go on than units, however many sources there are.
+QUANTUM = 4
 END_ID = 0
 #: Documents in one chunk of a queue, on average.
 CHUNK_ROWS = 4096
@@ -120,104 +122,194 @@ def _tokenize(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.Reco
 
 
 @dataclass
-class Deal:
-    """Where each source's tokens go.
+class Phase:
+    """A stretch of the windows that is dealt from the same queues in the same proportions.
 
-    The sources' whole quanta are dealt over a binary tree: of the first x quanta that
-    reach a node, its left side gets floor(x * left / all), which carries the
-    deficit of either side in the rounding. ``paths`` has each source's way from the root as
-    (is left, quanta on the left, quanta of the node). What is left of each source
-    after its whole quanta follows at the end, source by source.
+    The queues' units (``unit`` tokens each) are dealt over a binary tree: of the first x units
+    that reach a node, its left side gets floor(x * left / all), which carries the deficit
+    of either side in the rounding, and all of them together use up what the phase deals. ``paths``
+    has each source's way from the root as (is left, units on the left, units of the node).
     """
 
-    quantum: int
-    whole: dict[str, int]
+    unit: int
+    #: First place of the phase, and its units.
+    start: int
+    total: int
+    #: Per source its units in this phase and the tokens its queue has given before.
+    units: dict[str, int]
+    given: dict[str, int]
     paths: dict[str, list[tuple[bool, int, int]]]
-    rest: dict[str, int]
 
     @classmethod
-    def of(cls, totals: dict[str, int], quantum: int) -> Deal:
-        whole = {k: n // quantum for k, n in sorted(totals.items())}
-        paths: dict[str, list] = {k: [] for k in whole}
+    def of(cls, unit: int, start: int, units: dict[str, int], given: dict[str, int]) -> Phase:
+        units = {k: n for k, n in sorted(units.items()) if n}
+        paths: dict[str, list] = {k: [] for k in units}
 
         def split(keys: list[str]) -> None:
             if len(keys) < 2:
                 return
             left, right = keys[: len(keys) // 2], keys[len(keys) // 2 :]
-            n_left, n_all = sum(whole[k] for k in left), sum(whole[k] for k in keys)
+            n_left, n_all = sum(units[k] for k in left), sum(units[k] for k in keys)
             for side, is_left in ((left, True), (right, False)):
                 for k in side:
                     paths[k].append((is_left, n_left, n_all))
                 split(side)
 
-        split([k for k in whole if whole[k]])
-        rest, at = {}, sum(whole.values()) * quantum
-        for k in whole:
-            rest[k] = at
-            at += totals[k] - whole[k] * quantum
-        return cls(quantum, whole, paths, rest)
+        split(list(units))
+        return cls(unit, start, sum(units.values()), units, {k: given[k] for k in units}, paths)
+
+    def whole(self, values: np.ndarray) -> np.ndarray:
+        """As numbers whose products are exact: Python's own where 64 bits could overflow."""
+        return values.astype(np.int64 if (self.total + 1) ** 2 < 2**62 else object)
+
+    def dealt(self, source: str, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the phase's first x units, those of the source and those of the sources before it."""
+        own, before = self.whole(x), self.whole(np.zeros(len(x)))
+        for is_left, n_left, n_all in self.paths[source]:
+            left = own * n_left // n_all
+            if is_left:
+                own = left
+            else:
+                before, own = before + left, own - left
+        return own.astype(np.int64), before.astype(np.int64)
 
-    def slot(self, source: str, served: int) -> int:
-        """The place among all quanta of the source's quantum number ``served``."""
+    def turn(self, source: str, served: np.ndarray) -> np.ndarray:
+        """At which of the phase's units the source's unit number ``served`` falls due."""
+        served = self.whole(served)
         for is_left, n_left, n_all in reversed(self.paths[source]):
             served = -(-(served + 1) * n_all // n_left) - 1 if is_left else served * n_all // (n_all - n_left)
-        return served
+        return served.astype(np.int64)
+
+    def pieces(self, source: str, first: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+        """(document, queue position, length, place) of what documents have in this phase.
+
+        ``first`` and ``n`` are the documents' first places in the source's queue and their tokens.
+        In each window the source's units of that window lie together.
+        """
+        given = self.given[source]
+        low = np.maximum(first, given)
+        high = np.minimum(first + n, given + self.units[source] * self.unit)
+        of = np.flatnonzero(low < high)
+        low, high = low[of] - given, high[of] - given
+        per = window // self.unit
+        ahead = self.start // self.unit
+        from_window = (self.turn(source, low // self.unit) + ahead) // per
+        to_window = (self.turn(source, (high - 1) // self.unit) + ahead) // per
+        counts = to_window - from_window + 1
+        row = np.repeat(np.arange(len(of)), counts)
+        at = np.repeat(from_window, counts) + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        begin = np.clip(at * per - ahead, 0, self.total)
+        own, before = self.dealt(source, begin)
+        own_after, before_after = self.dealt(source, np.clip((at + 1) * per - ahead, 0, self.total))
+        start = np.maximum(low[row], own * self.unit)
+        stop = np.minimum(high[row], own_after * self.unit)
+        # In the window, the units of the sources before this one come first.
+        place = self.start + (begin + before_after - before - own) * self.unit + start
+        some = start < stop
+        return of[row[some]], start[some] + given, (stop - start)[some], place[some]
 
-    def runs(self, source: str, start: int, stop: int) -> Iterator[tuple[int, int, int]]:
-        """(queue position, place, length) of the parts that the queue's tokens fall into."""
-        limit = self.whole[source] * self.quantum
-        while start < min(stop, limit):
-            end = min(stop, (start // self.quantum + 1) * self.quantum)
-            place = self.slot(source, start // self.quantum) * self.quantum + start % self.quantum
-            yield start, place, end - start
-            start = end
-        if start < stop:
-            yield start, self.rest[source] + start - limit, stop - start
+
+@dataclass
+class Deal:
+    """Where each source's tokens go: the phases, one after the other."""
+
+    phases: list[Phase]
+
+    @classmethod
+    def of(cls, totals: dict[str, int], unit: int, shares: dict[str, float] | None = None) -> Deal:
+        """Deals all tokens in the proportions of ``shares``, or of the totals themselves.
+
+        A queue that runs dry ends a phase, and the others go on in their proportions to
+        each other. Sources without a share come after these, in the proportions of their totals. What is
+        left of each source below a unit comes at the end.
+        """
+        left = {k: n // unit for k, n in totals.items() if n >= unit}
+        given = dict.fromkeys(totals, 0)
+        phases, start = [], 0
+
+        def deal(units: dict[str, int], size: int) -> None:
+            nonlocal start
+            if not any(units.values()):
+                return
+            phases.append(Phase.of(size, start, units, given))
+            for k, n in units.items():
+                given[k] += n * size
+                start += n * size
+
+        weights = {k: Fraction(w) for k, w in (shares or {}).items() if w > 0}
+        while active := [k for k in left if left[k] and k in weights]:
+            rounds = min(left[k] / weights[k] for k in active)
+            units = {k: int(rounds * weights[k]) for k in active}
+            deal(units, unit)
+            left = {k: n - units.get(k, 0) for k, n in left.items()}
+        deal(left, unit)
+        deal({k: totals[k] - given[k] for k in totals}, 1)
+        return cls(phases)
+
+    def pieces(self, source: str, first: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+        """(document, start in the document, length, place), by document and start."""
+        parts = [p.pieces(source, first, n, window) for p in self.phases if source in p.units]
+        row, at, length, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((at, row))
+        row, at, length, place = row[order], at[order], length[order], place[order]
+        # What lies together in one window is one piece.
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + length[:-1]) | (place[1:] % window == 0)
+        heads = np.flatnonzero(new)
+        return row[heads], (at - first[row])[heads], np.add.reduceat(length, heads), place[heads]
 
 
 def _cut(batches: Iterator[pa.RecordBatch], deal, window: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     deal = deal.value
     names = [c.split()[0] for c in _PIECES.split(",")] + ["ids"] * with_ids
     for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            part = whole.slice(at, 256).to_pydict()
-            rows = []
-            for doc_id, source, n, ids, first in zip(*(part[c] for c in ("doc_id", "_sk", "n", "ids", "_first")), strict=True):
-                wide = np.frombuffer(ids, "<u2").astype("<u4")
-                for start, place, length in _pieces(deal, source, first, n, window):
-                    piece = wide[start : start + length].tobytes()
-                    row = (doc_id, start, length, zlib.crc32(piece), n, place // window, place % window)
-                    rows.append((*row, piece) if with_ids else row)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
-
-
-def _pieces(deal: Deal, source: str, first: int, n: int, window: int) -> Iterator[tuple[int, int, int]]:
-    """(start in the document, place, length); neighbouring runs of one window are one piece."""
-    held = None
-    for at, place, length in deal.runs(source, first, first + n):
-        while length:
-            step = min(length, window - place % window)
-            if held and held[1] + held[2] == place and place % window:
-                held = (held[0], held[1], held[2] + step)
-            else:
-                if held:
-                    yield held
-                held = (at - first, place, step)
-            at, place, length = at + step, place + step, length - step
-    if held:
-        yield held
+        for at in range(0, whole.num_rows, 512):
+            part = whole.slice(at, 512)
+            sources = part.column("_sk").to_pylist()
+            first, n = (part.column(c).to_numpy() for c in ("_first", "n"))
+            members: dict[str, list[int]] = {}
+            for i, source in enumerate(sources):
+                members.setdefault(source, []).append(i)
+            found = []
+            for source, rows in members.items():
+                rows = np.array(rows)
+                row, *cells = deal.pieces(source, first[rows], n[rows], window)
+                found.append((rows[row], *cells))
+            row, start, length, place = (np.concatenate(c) for c in zip(*found, strict=True))
+            ids = [memoryview(np.frombuffer(x, "<u2").astype("<u4")).cast("B") for x in part.column("ids").to_pylist()]
+            bytes_of = [
+                ids[r][4 * a : 4 * b] for r, a, b in zip(row.tolist(), start.tolist(), (start + length).tolist(), strict=True)
+            ]
+            cells = [
+                part.column("doc_id").take(pa.array(row)),
+                pa.array(start),
+                pa.array(length),
+                pa.array([zlib.crc32(x) for x in bytes_of], pa.int64()),
+                pa.array(n[row]),
+                pa.array(place // window),
+                pa.array(place % window),
+            ]
+            if with_ids:
+                cells.append(pa.array([bytes(x) for x in bytes_of], pa.binary()))
+            yield pa.RecordBatch.from_arrays(cells, names=names)
 
 
 def pack_documents(
-    docs: DataFrame, window: int = WINDOW, quantum: int = QUANTUM, ranks: str = RANKS, with_ids: bool = True
+    docs: DataFrame,
+    window: int = WINDOW,
+    quantum: int = QUANTUM,
+    ranks: str = RANKS,
+    with_ids: bool = True,
+    shares: dict[str | None, float] | None = None,
 ) -> DataFrame:
     """The pieces of all documents, each id in one piece, and where they lie.
 
     ``sequence_id`` counts windows of ``window`` tokens, ``offset`` is the place in the window;
-    all windows but the last are full. The mixture is that of the corpus: each
-    source's share of all tokens, held in every window to within a quantum. ``ids`` (little-endian
-    unsigned 32-bit) is left out on request. NULL and empty texts are one end id. NULL is a
+    all windows but the last are full. ``shares`` gives sources their target proportions (of any sum); without it
+    they are those of the corpus. Every window is filled to them, to within a rounding of
+    ``quantum`` tokens for each level of a binary tree over the sources, until a source has run out: then the others keep
+    their proportions to each other, and sources without a share come last. Each source keeps less than
+    a quantum for the last windows. ``ids`` (little-endian unsigned 32-bit) is left out on request. NULL and empty texts are one end id. NULL is a
     source of its own; queues are in an order of hashed chunks. Repeated rows are documents
     of their own, and rows with one doc_id tell themselves apart by their texts. An
     empty table gives no rows; other columns are not read.
@@ -237,7 +329,8 @@ def pack_documents(
     sums = stage(sums, "pack-sums")
     totals = {k: n for k, n in sums.groupBy("_sk").agg(F.sum("_sum")).collect()}
     starts = stage(offsets_before(sums, ["_sk"], "_chunk", "_sum", "_at"), "pack-starts").drop("_sum")
-    deal = docs.sparkSession.sparkContext.broadcast(Deal.of(totals, quantum))
+    targets = shares and {"n" if k is None else f"s{k}": w for k, w in shares.items()}
+    deal = docs.sparkSession.sparkContext.broadcast(Deal.of(totals, quantum, targets))
     before = Window.partitionBy("_sk", "_chunk").orderBy("_dk", "_tk", "n").rowsBetween(Window.unboundedPreceding, -1)
     queued = tokens.join(starts, ["_sk", "_chunk"]).withColumn(
         "_first", F.col("_at") + F.coalesce(F.sum("n").over(before), F.lit(0))
