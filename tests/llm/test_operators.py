@@ -482,6 +482,37 @@ def test_repeats_match_plain_version(spark, most, length, width):
     assert all(hashlib.sha256(r.kept_bytes).hexdigest() == r.kept_sha256 for r in got)
 
 
+@pytest.mark.parametrize(("text", "most_rows"), [(b" " * 50_000, 25), (b"ab" * 25_000, 25), (b"x" * 300, 1)])
+def test_a_long_run_has_few_anchors(text, most_rows):
+    data = np.frombuffer(text, np.uint8)
+    of, low, high, again = suffix_dedup.anchors(data, 200, 48)
+    assert len(of) <= most_rows and again.all()
+    assert low[0] == 0 and high[-1] == len(text) - 200 and (low[1:] == high[:-1] + 1).all()
+
+
+def test_equal_strings_have_one_anchor():
+    rng = random.Random(4)
+    shared = bytes(rng.choices(range(97, 100), k=90))
+    texts = [bytes(rng.choices(range(97, 100), k=50)) + shared + b"c" * 70 + shared[:k] for k in (20, 40, 90)]
+    names = {}
+    for text in texts:
+        of, low, high, _ = suffix_dedup.anchors(np.frombuffer(text, np.uint8), 30, 6)
+        for anchor, a, b in zip(of.tolist(), low.tolist(), high.tolist(), strict=True):
+            for start in range(a, b + 1):
+                assert names.setdefault(text[start : start + 30], anchor) == anchor
+
+
+def test_a_passage_in_many_surroundings_is_taken_apart(spark):
+    """One boilerplate line holds an anchor with more segments than an array may have."""
+    rng = random.Random(5)
+    line = "".join(rng.choices("abcdef", k=60))
+    rows = [(i, "".join(rng.choices("abcdef", k=30)) + line + "".join(rng.choices("abcdef", k=30))) for i in range(80)]
+    rows += [(100 + i, rows[i][1][7:]) for i in range(5)] + [(200, " " * 3000), (201, line[:50] + " " * 2500)]
+    got = suffix_dedup.remove_repeats(documents(spark, rows), length=64, width=16, most=20).collect()
+    expected = plain.repeated_bytes(rows, 64)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == expected
+
+
 def test_given_documents_lose_their_repeats(given, spark):
     got = QUERIES["op8_suffix_dedup"](spark, "/root/testdata/sf0.001").collect()
     expected = plain.repeated_bytes([(i, r.text) for i, r in given.items()], 200)

@@ -1,10 +1,12 @@
 """Exact removal of repeated byte strings by two-stage suffix sorting.
 
 Every string of ``length`` bytes holds an anchor, the window minimum of the rolling hashes in
-it, and equal strings hold equal anchors at equal places. So the strings that start near
+it, and equal strings hold equal anchors. So the strings that start near
 an anchor are compared only with those near the same anchor: the text around each anchor
 that occurs twice is a segment, equal segments are counted once, and the
-segments of many anchors are put into one suffix array per partition. Two-stage sorting
+segments of many anchors are put into one suffix array per partition. Where an anchor has more
+segments than one suffix array should hold, its segments are taken apart by anchors of more bytes,
+which tell more of them apart, at last by whole strings. Two-stage sorting
 orders the suffixes that are smaller than their successors directly and induces the others
 by one scan over the buckets; common prefixes of neighbours then tell which strings
 occur twice.
@@ -27,25 +29,29 @@ from tripflow.llm.common import column_or_null, map_in_arrow, row_key, stage
 LENGTH = 200
 #: Bytes of an anchor; the wider, the fewer anchors occur by chance.
 ANCHOR = 48
-#: Anchors with more different segments than this are compared by digests of their strings.
+#: Different segments that one suffix array may hold; those of other anchors are taken apart again.
 MOST_SEGMENTS = 16_384
+#: Starts in one segment; more only come together where hashes repeat within a text.
+MOST_STARTS = 2048
 #: Bytes of one suffix array, beyond which no further anchor is taken in.
 BLOCK = 1 << 20
 
-_OCCURRENCE = "_dk long, _tk long, anchor long, low int, high int"
+_OCCURRENCE = "_dk long, _tk {key}, anchor long, low int, high int, again boolean"
 #: Bytes hashed at once, and bits that hold a place among them.
 _PART, _PART_BITS = 1 << 20, 21
 
 
 def anchors(data: np.ndarray, length: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, place, low, high): the strings that start at low to high belong to the anchor at place.
+    """(hash, low, high, again): the strings that start at low to high belong to the anchor of that hash.
 
-    The anchor of a string is the leftmost smallest rolling hash in it.
+    The anchor of a string is the smallest rolling hash in it, wherever it is, so neighbours whose
+    smallest hashes are equal have one anchor: a long blank makes a row every `MOST_STARTS`
+    bytes, not every byte. ``again`` tells that such a row has its hash at several places.
     """
     n = len(data) - length + 1
     if n <= 0:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty
+        return empty, empty, empty, empty.astype(bool)
     found, places = [], []
     span = length - width + 1
     for start in range(0, n, _PART):
@@ -61,9 +67,15 @@ def anchors(data: np.ndarray, length: int, width: int) -> tuple[np.ndarray, np.n
         found.append(hashes[order])
         places.append(order + start)
     of, place = np.concatenate(found), np.concatenate(places)
-    new = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    high = np.concatenate((new[1:], [n])) - 1
-    return of[new].view(np.int64), place[new], new, high
+    new = np.concatenate(([True], of[1:] != of[:-1]))
+    heads = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    new |= (np.arange(n) - heads[run]) % MOST_STARTS == 0
+    low = np.flatnonzero(new)
+    high = np.concatenate((low[1:], [n])) - 1
+    last = np.concatenate((heads[1:], [n])) - 1
+    again = (place[heads] != place[last])[run[low]]
+    return of[low].view(np.int64), low, high, again
 
 
 def _sliding_min(values: np.ndarray, span: int) -> np.ndarray:
@@ -86,7 +98,7 @@ def _find(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iterato
             found = [anchors(data[starts[i] : starts[i + 1]], length, width) for i in range(batch.num_rows)]
             counts = [len(f[0]) for f in found]
             rows = pa.array(np.repeat(np.arange(batch.num_rows), counts))
-            cells = [np.concatenate([f[k] for f in found]) for k in (0, 2, 3)]
+            cells = [np.concatenate([f[k] for f in found]) for k in range(4)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(rows),
@@ -94,17 +106,19 @@ def _find(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iterato
                     pa.array(cells[0].astype(np.int64)),
                     pa.array(cells[1].astype(np.int32)),
                     pa.array(cells[2].astype(np.int32)),
+                    pa.array(cells[3].astype(bool)),
                 ],
                 names=names,
             )
 
 
-_SEGMENT = "_dk long, _tk long, anchor long, low int, digest binary, size int, segment binary"
-_SEGMENT_ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+_SEGMENT = "_dk long, _tk {key}, anchor long, low int, digest binary, size int, segment binary"
 
 
-def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], length: int, key: str) -> Iterator[pa.RecordBatch]:
     """The text around each listed anchor and its digest; equal ones of a few documents are written once."""
+    second = pa.binary() if key == "binary" else pa.int64()
+    kinds = [pa.int64(), second, pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
     for whole in batches:
         for at in range(0, whole.num_rows, 64):
             batch = whole.slice(at, 64)
@@ -112,7 +126,7 @@ def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
             rows, given = [], set()
             for i, spots in enumerate(batch.column("spots").to_pylist()):
                 text = data[starts[i] : starts[i + 1]].tobytes()
-                key = (batch.column("_dk")[i].as_py(), batch.column("_tk")[i].as_py())
+                owner = (batch.column("_dk")[i].as_py(), batch.column("_tk")[i].as_py())
                 for spot in spots:
                     part = text[spot["low"] : spot["high"] + length]
                     digest = blake2b(part, digest_size=16).digest()
@@ -120,10 +134,10 @@ def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
                     if digest in given:
                         part = None
                     given.add(digest)
-                    rows.append((*key, spot["anchor"], spot["low"], digest, size, part))
+                    rows.append((*owner, spot["anchor"], spot["low"], digest, size, part))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SEGMENT_ARROW, strict=True)],
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
                     names=["_dk", "_tk", "anchor", "low", "digest", "size", "segment"],
                 )
 
@@ -295,23 +309,6 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch], length: int, block: int) ->
         yield from out()
 
 
-def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Digests of all strings of segments that are too many for one suffix array."""
-    for batch in batches:
-        for anchor, digest, segment in zip(*(batch.column(c).to_pylist() for c in ("anchor", "digest", "segment")), strict=True):
-            places = range(len(segment) - length + 1)
-            names = [blake2b(segment[p : p + length], digest_size=16).digest() for p in places]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([anchor] * len(names), pa.int64()),
-                    pa.array([digest] * len(names), pa.binary()),
-                    pa.array(list(places), pa.int32()),
-                    pa.array(names, pa.binary()),
-                ],
-                names=["anchor", "digest", "place", "string"],
-            )
-
-
 def _remove(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
@@ -338,39 +335,40 @@ def _remove(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.R
             )
 
 
-def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, most: int = MOST_SEGMENTS, with_text: bool = True
-) -> DataFrame:
-    """Per document ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the bytes that are left.
+def _widths(length: int, width: int) -> list[int]:
+    """Bytes of the anchors: ``width``, then half of what a string has beyond it, then whole strings."""
+    return sorted({width, (width + length) // 2, length})
 
-    Removes every byte that a string of ``length`` bytes covers which also starts anywhere
-    else, in this text or another; judged on the input. Strings never run over the
-    end of a text. NULL and shorter texts lose nothing. Rows equal in doc_id and
-    text are one document with as many copies, each of which counts as another place. An
-    empty table gives no rows; columns other than doc_id are not returned.
+
+def _covered(texts: DataFrame, rows: DataFrame, length: int, widths: list[int], most: int) -> DataFrame:
+    """(_dk, _tk, runs): the byte runs of each text whose strings start elsewhere too.
+
+    ``texts`` (_dk, _tk, _text) is read for anchors, ``rows`` again for the text around them. With
+    whole strings as anchors, all segments of an anchor are equal or runs of one byte string.
     """
-    rows = docs.select(
-        column_or_null(docs, "doc_id", "long").alias("doc_id"),
-        *row_key(),
-        column_or_null(docs, "text", "string").alias("_text"),
-    )
-    found = map_in_arrow(rows.select("_dk", "_tk", "_text"), partial(_find, length=length, width=width), _OCCURRENCE)
+    key = texts.schema["_tk"].dataType.simpleString().replace("bigint", "long")
+    found = map_in_arrow(texts, partial(_find, length=length, width=widths[0]), _OCCURRENCE.format(key=key))
     spots = stage(found, "suffix-anchors")
-    often = spots.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor")
+    # Written, so that the join below has a plain exchange on both sides and a hot anchor can be split.
+    often = stage(
+        spots.groupBy("anchor")
+        .agg(F.count("*").alias("_n"), F.bool_or("again").alias("_again"))
+        .where("_n > 1 OR _again")
+        .select("anchor"),
+        "suffix-often",
+    )
     listed = (
         spots.join(often, "anchor", "left_semi")
         .groupBy("_dk", "_tk")
         .agg(F.collect_set(F.struct("anchor", "low", "high")).alias("spots"))
     )
-    texts = rows.select("_dk", "_tk", "_text").join(listed, ["_dk", "_tk"])
-    segments = stage(map_in_arrow(texts, partial(_segments, length=length), _SEGMENT), "suffix-segments")
+    around = rows.select("_dk", "_tk", "_text").join(listed, ["_dk", "_tk"])
+    cut = map_in_arrow(around, partial(_segments, length=length, key=key), _SEGMENT.format(key=key))
+    segments = stage(cut, "suffix-segments")
     kinds = stage(segments.groupBy("anchor", "digest").agg(F.count("*").alias("_n")), "suffix-kinds")
     # Where all segments of an anchor occur twice as a whole, nothing is left to sort.
     mixed = (
-        kinds.groupBy("anchor")
-        .agg(F.count("*").alias("_kinds"), F.min("_n").alias("_least"))
-        .where("_kinds > 1 AND _least = 1")
-        .drop("_least")
+        kinds.groupBy("anchor").agg(F.count("*").alias("_kinds"), F.min("_n").alias("_least")).where("_least = 1").drop("_least")
     )
     several = stage(
         segments.where("segment IS NOT NULL")
@@ -380,30 +378,19 @@ def remove_repeats(
         .join(mixed, "anchor"),
         "suffix-several",
     )
-    by_sort = map_in_arrow(
-        several.where(F.col("_kinds") <= most)
-        .select("anchor", "digest", "segment")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor", "digest"),
+    last = len(widths) == 1
+    sorted_here = several if last else several.where(F.col("_kinds") <= most)
+    partly = map_in_arrow(
+        sorted_here.select("anchor", "digest", "segment").repartition("anchor").sortWithinPartitions("anchor", "digest"),
         partial(_sort_blocks, length=length, block=BLOCK),
         f"anchor long, digest binary, runs {_RUN}",
     )
-    strings = stage(
-        map_in_arrow(
-            several.where(F.col("_kinds") > most).select("anchor", "digest", "segment"),
-            partial(_strings, length=length),
-            "anchor long, digest binary, place int, string binary",
-        ),
-        "suffix-strings",
-    )
-    twice = strings.groupBy("anchor", "string").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    place = F.struct(F.col("place").alias("a"), (F.col("place") + length).cast("int").alias("b"))
-    by_string = (
-        strings.join(twice, ["anchor", "string"])
-        .groupBy("anchor", "digest")
-        .agg(F.collect_list(place).alias("runs"))
-    )
-    partly = by_sort.unionByName(by_string)
+    crowded = several.where(F.col("_kinds") > most)
+    if not last and not crowded.isEmpty():
+        # A segment holds whole strings only, and equal strings are in segments of one anchor.
+        parts = crowded.select(F.col("anchor").alias("_dk"), F.col("digest").alias("_tk"), F.col("segment").alias("_text"))
+        deeper = _covered(parts, parts, length, widths[1:], most)
+        partly = partly.unionByName(deeper.select(F.col("_dk").alias("anchor"), F.col("_tk").alias("digest"), "runs"))
     repeated = kinds.join(partly, ["anchor", "digest"], "left").where("_n > 1 OR runs IS NOT NULL")
     covered = (
         segments.select("_dk", "_tk", "anchor", "digest", "low", "size")
@@ -418,7 +405,27 @@ def remove_repeats(
         .groupBy("_dk", "_tk")
         .agg(F.flatten(F.collect_list("_runs")).alias("runs"))
     )
-    covered = stage(covered, "suffix-covered")
+    return stage(covered, "suffix-covered")
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, most: int = MOST_SEGMENTS, with_text: bool = True
+) -> DataFrame:
+    """Per document ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the bytes that are left.
+
+    Removes every byte that a string of ``length`` bytes covers which also starts anywhere
+    else, in this text or another; judged on the input. Strings never run over the
+    end of a text. NULL and shorter texts lose nothing; a text of any length is
+    cut around its anchors, and one task holds one text. Rows equal in doc_id and
+    text are one document with as many copies, each of which counts as another place. An
+    empty table gives no rows; columns other than doc_id are not returned.
+    """
+    rows = docs.select(
+        column_or_null(docs, "doc_id", "long").alias("doc_id"),
+        *row_key(),
+        column_or_null(docs, "text", "string").alias("_text"),
+    )
+    covered = _covered(rows.select("_dk", "_tk", "_text"), rows, length, _widths(length, width), most)
     result = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text
     joined = rows.join(covered, ["_dk", "_tk"], "left").select("doc_id", "_text", "runs")
     return map_in_arrow(joined, partial(_remove, with_text=with_text), f"doc_id long, {result}")
