@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm import line_dedup, mixing, near_dedup, quality_rules, resampling
+from tripflow.llm import line_dedup, mixing, near_dedup, quality_rules, resampling, warc
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 _BLANKS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -72,14 +72,31 @@ FROM summed
 """
 
 _BASE32 = " || ".join(f"to_base(('0x' || substr(s, {1 + 5 * k}, 5))::BIGINT, 32, 4)" for k in range(8))
+_DIGITS = "'0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
 OP3 = f"""
-WITH data AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS s FROM pages),
-firsts AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id FROM data)
-SELECT page_id, octet_length(body)::BIGINT AS payload_bytes,
-       translate(upper({_BASE32}), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
-       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
-FROM firsts
+WITH data AS (
+  SELECT page_id, url, coalesce(html, '') AS html, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS s FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id FROM data
+), described AS (
+  SELECT page_id, url, html, octet_length(body)::BIGINT AS payload_bytes,
+         translate(upper({_BASE32}), {_DIGITS}) AS payload_digest,
+         CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+         CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+  FROM firsts
+)
+SELECT page_id, payload_bytes, payload_digest, record_type, refers_to,
+       sha256(concat(
+         E'WARC/1.1\\r\\nWARC-Type: ', record_type,
+         E'\\r\\nWARC-Record-ID: <urn:page:', page_id, E':1>\\r\\nWARC-Date: {warc.DATE}\\r\\nWARC-Target-URI: ',
+         replace(replace(coalesce(url, ''), E'\\r', '%0D'), E'\\n', '%0A'),
+         E'\\r\\nWARC-Payload-Digest: sha1:', payload_digest,
+         CASE WHEN refers_to IS NULL THEN E'\\r\\nContent-Type: text/html; charset=utf-8'
+              ELSE concat(E'\\r\\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest',
+                          E'\\r\\nWARC-Refers-To: <urn:page:', refers_to, ':1>') END,
+         E'\\r\\nContent-Length: ', CASE WHEN refers_to IS NULL THEN payload_bytes ELSE 0 END, E'\\r\\n\\r\\n',
+         CASE WHEN refers_to IS NULL THEN html ELSE '' END, E'\\r\\n\\r\\n')) AS record_sha256
+FROM described
 """
 
 _N = near_dedup.SHINGLE_WORDS

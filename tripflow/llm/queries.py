@@ -40,10 +40,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as read back, with a digest of each whole rebuilt record."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     archive = write_archive(pages, archive_path(spark, f"warc-{uuid.uuid4().hex}"))
     records = read_archive(spark, archive)
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return records.select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        F.sha2("record", 256).alias("record_sha256"),
+    )
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
