@@ -115,31 +115,36 @@ def _find(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iterato
 _SEGMENT = "_dk long, _tk {key}, anchor long, low int, digest binary, size int, segment binary"
 
 
-def _segments(batches: Iterator[pa.RecordBatch], length: int, key: str) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The text around each listed anchor and its digest; equal ones of a few documents are written once."""
-    second = pa.binary() if key == "binary" else pa.int64()
-    kinds = [pa.int64(), second, pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
     for whole in batches:
         for at in range(0, whole.num_rows, 64):
             batch = whole.slice(at, 64)
             data, starts = utf8(batch.column("_text"))
-            rows, given = [], set()
-            for i, spots in enumerate(batch.column("spots").to_pylist()):
-                text = data[starts[i] : starts[i + 1]].tobytes()
-                owner = (batch.column("_dk")[i].as_py(), batch.column("_tk")[i].as_py())
-                for spot in spots:
-                    part = text[spot["low"] : spot["high"] + length]
-                    digest = blake2b(part, digest_size=16).digest()
-                    size = len(part)
-                    if digest in given:
-                        part = None
-                    given.add(digest)
-                    rows.append((*owner, spot["anchor"], spot["low"], digest, size, part))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    names=["_dk", "_tk", "anchor", "low", "digest", "size", "segment"],
-                )
+            anchor, low, high = batch.column("spots").flatten().flatten()
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("spots").offsets.to_numpy()))
+            sizes = high.to_numpy() - low.to_numpy() + np.int32(length)
+            begin = starts[owner] + low.to_numpy()
+            view, digests, parts, given = memoryview(data), [], [], set()
+            for a, size in zip(begin.tolist(), sizes.tolist(), strict=True):
+                part = view[a : a + size]
+                digest = blake2b(part, digest_size=16).digest()
+                digests.append(digest)
+                parts.append(None if digest in given else bytes(part))
+                given.add(digest)
+            rows = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("_dk").take(rows),
+                    batch.column("_tk").take(rows),
+                    anchor,
+                    low,
+                    pa.array(digests, pa.binary()),
+                    pa.array(sizes),
+                    pa.array(parts, pa.binary()),
+                ],
+                names=["_dk", "_tk", "anchor", "low", "digest", "size", "segment"],
+            )
 
 
 def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -363,7 +368,7 @@ def _covered(texts: DataFrame, rows: DataFrame, length: int, widths: list[int],
         .agg(F.collect_set(F.struct("anchor", "low", "high")).alias("spots"))
     )
     around = rows.select("_dk", "_tk", "_text").join(listed, ["_dk", "_tk"])
-    cut = map_in_arrow(around, partial(_segments, length=length, key=key), _SEGMENT.format(key=key))
+    cut = map_in_arrow(around, partial(_segments, length=length), _SEGMENT.format(key=key))
     segments = stage(cut, "suffix-segments")
     kinds = stage(segments.groupBy("anchor", "digest").agg(F.count("*").alias("_n")), "suffix-kinds")
     # Where all segments of an anchor occur twice as a whole, nothing is left to sort.
