@@ -35,6 +35,8 @@ MOST_SEGMENTS = 16_384
 MOST_STARTS = 2048
 #: Bytes of one suffix array, beyond which no further anchor is taken in.
 BLOCK = 1 << 20
+#: Suffix arrays that one task builds, on average.
+TASK_BLOCKS = 4
 
 _OCCURRENCE = "_dk long, _tk {key}, anchor long, low int, high int, again boolean"
 #: Bytes hashed at once, and bits that hold a place among them.
@@ -385,8 +387,11 @@ def _covered(texts: DataFrame, rows: DataFrame, length: int, widths: list[int],
     )
     last = len(widths) == 1
     sorted_here = several if last else several.where(F.col("_kinds") <= most)
+    # As many tasks as the bytes ask for: sorting takes far longer than reading them.
+    size = sorted_here.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
+    tasks = max(1, -(-size // (TASK_BLOCKS * BLOCK)))
     partly = map_in_arrow(
-        sorted_here.select("anchor", "digest", "segment").repartition("anchor").sortWithinPartitions("anchor", "digest"),
+        sorted_here.select("anchor", "digest", "segment").repartition(tasks, "anchor").sortWithinPartitions("anchor", "digest"),
         partial(_sort_blocks, length=length, block=BLOCK),
         f"anchor long, digest binary, runs {_RUN}",
     )
